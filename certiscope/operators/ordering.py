@@ -167,21 +167,17 @@ def exact_quantiles(
     column in one task. Rank errors of the sketch are bounded, and a bracket that still misses is
     widened to the whole column.
     """
-    n_by_column = df.agg(*[F.count(c).alias(c) for c in columns]).first()
     around = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-3 * error, 3 * error)})
-    sketch = df.approxQuantile(columns, around, error)
+    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
     brackets = []
-    for c, found in zip(columns, sketch):
-        at = dict(zip(around, found))
+    for c, found in zip(columns, df.approxQuantile(columns, around, error)):
+        at = dict(zip(around, found))  # empty when the column has no values
         for i, p in enumerate(probs):
-            if n_by_column[c]:
-                low = at[max(0.0, p - 3 * error)]
-                high = at[min(1.0, p + 3 * error)]
-                brackets.append((c, i, low, high))
-    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
+            if at:
+                brackets.append((c, i, at[max(0.0, p - 3 * error)], at[min(1.0, p + 3 * error)]))
     while brackets:
         missed = []
-        for (c, i, _, _), value in zip(brackets, _bracketed(df, brackets, probs, n_by_column)):
+        for (c, i, _, _), value in zip(brackets, _bracketed(df, brackets, probs)):
             if value is None:
                 missed.append((c, i, -math.inf, math.inf))
             else:
@@ -190,12 +186,11 @@ def exact_quantiles(
     return out
 
 
-def _bracketed(df: DataFrame, brackets: list[tuple], probs: list[float], n_by_column: Row) -> list[float | None]:
+def _bracketed(df: DataFrame, brackets: list[tuple], probs: list[float]) -> list[float | None]:
     """Interpolated quantile for each bracket, None where the wanted rank lies outside it."""
-    below = df.agg(
-        *[F.coalesce(F.sum((F.col(c) < lo).cast("bigint")), F.lit(0)).alias(str(k))
-          for k, (c, _, lo, _) in enumerate(brackets)]
-    ).first()
+    below = [F.count(F.when(F.col(c) < lo, 1)).alias(f"b{k}") for k, (c, _, lo, _) in enumerate(brackets)]
+    sizes = [F.count(c).alias(f"n{k}") for k, (c, *_) in enumerate(brackets)]
+    known = df.agg(*below, *sizes).first()
     tagged = [
         F.when(F.col(c).between(lo, hi), F.struct(F.lit(k).alias("k"), F.col(c).cast("double").alias("v")))
         for k, (c, _, lo, hi) in enumerate(brackets)
@@ -205,26 +200,26 @@ def _bracketed(df: DataFrame, brackets: list[tuple], probs: list[float], n_by_co
         .groupBy(F.col("e.k").alias("k"), F.col("e.v").alias("v"))
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    starts, wanted = [], []
-    for k, (c, i, _, _) in enumerate(brackets):
-        rank = probs[i] * (n_by_column[c] - 1) + 1
-        starts.append((k, below[str(k)], math.floor(rank), math.ceil(rank)))
-        wanted.append(rank)
-    plan = df.sparkSession.createDataFrame(starts, "k int, start bigint, lo bigint, hi bigint")
+    ranks = [probs[i] * (known[f"n{k}"] - 1) + 1 for k, (_, i, _, _) in enumerate(brackets)]
+    plan = df.sparkSession.createDataFrame(
+        [(k, known[f"b{k}"], math.floor(r), math.ceil(r)) for k, r in enumerate(ranks)],
+        "k int, start bigint, lo bigint, hi bigint",
+    )
     run = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.col("upto") - F.col("c")
     ends = (
         cells.withColumn("upto", F.sum("c").over(run))
         .join(plan, "k")
         .withColumn("upto", F.col("upto") + F.col("start"))
-        .where((F.col("upto") >= F.col("lo")) & (F.col("upto") - F.col("c") < F.col("hi")))
+        .where((F.col("upto") >= F.col("lo")) & (last < F.col("hi")))
         .groupBy("k")
-        .agg(F.min(F.when(F.col("upto") - F.col("c") < F.col("lo"), F.col("v"))).alias("low"),
+        .agg(F.min(F.when(last < F.col("lo"), F.col("v"))).alias("low"),
              F.max(F.when(F.col("upto") >= F.col("hi"), F.col("v"))).alias("high"))
         .collect()
     )
     found = {r.k: (r.low, r.high) for r in ends}
     values = []
-    for k, rank in enumerate(wanted):
+    for k, rank in enumerate(ranks):
         low, high = found.get(k, (None, None))
         ok = low is not None and high is not None
         values.append(low + (high - low) * (rank - math.floor(rank)) if ok else None)

@@ -11,7 +11,7 @@ from certiscope import vocab
 from certiscope.functions import columns as C
 from certiscope.operators import cleaning, decisions, dedup, features, joins, metrics, ordering, profiling, sampling
 from certiscope.plans.prepare import prepared_fixture as prepared
-from certiscope.session import work_dir
+from certiscope.session import stored, work_dir
 from certiscope.sources import geojson, register
 from certiscope.sources.fixture import KEYS, TIES, certificates, table
 
@@ -43,12 +43,19 @@ def scored(spark: SparkSession, sf_dir: str, keep: list[str] = ()) -> DataFrame:
 
 
 def long_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per test row and model, for measures that go over the rows once."""
     return metrics.long_scores(scored(spark, sf_dir), LABEL, SCORES)
 
 
+def stored_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for measures that go over the rows more than once."""
+    return metrics.long_scores(stored(scored(spark, sf_dir).select(LABEL, *SCORES.values())), LABEL, SCORES)
+
+
 def with_savings(spark: SparkSession, sf_dir: str, keep: list[str] = ()) -> DataFrame:
     both = ["HEATING_COST_CURRENT", "HEATING_COST_POTENTIAL", "CO2_EMISSIONS_CURRENT", "CO2_EMISSIONS_POTENTIAL"]
-    return cleaning.savings(scored(spark, sf_dir, [*both, *keep]))
+    rows = cleaning.savings(scored(spark, sf_dir, [*both, *keep]))
+    return stored(rows.select("UPRN", "CURRENT_ENERGY_RATING", LABEL, "SCORE_A", "COST_SAVING", "CO2_SAVING"))
 
 
 def city_members(spark: SparkSession, sf_dir: str, cities: list[str]) -> DataFrame:
@@ -60,6 +67,10 @@ def city_members(spark: SparkSession, sf_dir: str, cities: list[str]) -> DataFra
     return last.select("LOCAL_AUTHORITY", "UPRN", "POSTCODE")
 
 
+def scored_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(scored(spark, sf_dir).select("UPRN", LABEL, "PRED_A"))
+
+
 def district_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Centres for three quarters of the districts, so that some have none."""
     return table(spark, sf_dir, "nation").where("n_nationkey % 4 <> 0").select(
@@ -398,13 +409,13 @@ def uniform_sample_n(spark, sf_dir):
 
 @query
 def stratified_sample_quota(spark, sf_dir):
-    rows = prepared(spark, sf_dir).select("UPRN", LABEL, "split")
+    rows = stored(prepared(spark, sf_dir).select("UPRN", LABEL, "split"))
     return sampling.stratified_sample_quota(rows, 2000, LABEL, ["UPRN"])
 
 
 @query
 def stratified_sample_frac(spark, sf_dir):
-    rows = prepared(spark, sf_dir).select("UPRN", LABEL, "split")
+    rows = stored(prepared(spark, sf_dir).select("UPRN", LABEL, "split"))
     return sampling.stratified_sample_fraction(rows, 2000, LABEL, ["UPRN"])
 
 
@@ -422,13 +433,13 @@ def temporal_split(spark, sf_dir):
 
 @query
 def stratified_folds(spark, sf_dir):
-    rows = prepared(spark, sf_dir).select("UPRN", LABEL)
+    rows = stored(prepared(spark, sf_dir).select("UPRN", LABEL))
     return sampling.stratified_folds(rows, 5, LABEL, ["UPRN"])
 
 
 @query
 def half_split(spark, sf_dir):
-    rows = prepared(spark, sf_dir).where("PROPERTY_TYPE = 'Flat'").select("UPRN")
+    rows = stored(prepared(spark, sf_dir).where("PROPERTY_TYPE = 'Flat'").select("UPRN"))
     return sampling.half_split(rows, ["UPRN"])
 
 
@@ -476,7 +487,7 @@ def negative_rows(spark, sf_dir):
 
 @query
 def class_histogram(spark, sf_dir):
-    rows = prepared(spark, sf_dir, ["HEATING_COST_CURRENT"])
+    rows = stored(prepared(spark, sf_dir, ["HEATING_COST_CURRENT"]).select("HEATING_COST_CURRENT", LABEL))
     capped = profiling.cap_at_percentile(rows, "HEATING_COST_CURRENT")
     return rounded(profiling.class_histogram(capped, "HEATING_COST_CURRENT", LABEL), 8)
 
@@ -532,8 +543,8 @@ _INPUTS = ["TOTAL_FLOOR_AREA", "NUMBER_HABITABLE_ROOMS", "CO2_EMISSIONS_CURRENT"
 
 
 def model_rows(spark, sf_dir, keep: list[str] = ()) -> DataFrame:
-    """Prepared rows with the wall class, ready for the encoder."""
-    return cleaning.add_wall_type(prepared(spark, sf_dir, [*_INPUTS, *keep]))
+    """Prepared rows with the wall class, stored because fitting goes over them several times."""
+    return stored(cleaning.add_wall_type(prepared(spark, sf_dir, [*_INPUTS, *keep])))
 
 
 def _fitted(spark, sf_dir, part: Callable[[DataFrame], features.FeatureEncoder]) -> tuple[DataFrame, features.FeatureEncoder]:
@@ -610,26 +621,26 @@ def classification_report(spark, sf_dir):
 
 @query
 def roc_auc(spark, sf_dir):
-    return rounded(metrics.roc_auc(long_scored(spark, sf_dir), "label", "score", ["model"]), 8)
+    return rounded(metrics.roc_auc(stored_scores(spark, sf_dir), "label", "score", ["model"]), 8)
 
 
 @query
 def average_precision(spark, sf_dir):
-    return rounded(metrics.average_precision(long_scored(spark, sf_dir), "label", "score", ["model"]), 8)
+    return rounded(metrics.average_precision(stored_scores(spark, sf_dir), "label", "score", ["model"]), 8)
 
 
 @query
 def roc_curve(spark, sf_dir):
-    return rounded(metrics.roc_curve(long_scored(spark, sf_dir), "label", "score", ["model"]), 8)
+    return rounded(metrics.roc_curve(stored_scores(spark, sf_dir), "label", "score", ["model"]), 8)
 
 
 @query
 def pr_curve(spark, sf_dir):
-    return rounded(metrics.pr_curve(long_scored(spark, sf_dir), "label", "score", ["model"]), 8)
+    return rounded(metrics.pr_curve(stored_scores(spark, sf_dir), "label", "score", ["model"]), 8)
 
 
 def comparison(spark, sf_dir) -> DataFrame:
-    return metrics.score_summary(long_scored(spark, sf_dir), "label", "score", ["model"])
+    return metrics.score_summary(stored_scores(spark, sf_dir), "label", "score", ["model"])
 
 
 @query
@@ -734,13 +745,13 @@ def threshold_sweep(spark, sf_dir):
 
 @query
 def group_threshold(spark, sf_dir):
-    rows = scored(spark, sf_dir)
+    rows = stored(scored(spark, sf_dir).select("UPRN", "PROPERTY_TYPE", LABEL, "SCORE_A"))
     return rounded(decisions.group_threshold(rows, "PROPERTY_TYPE", "Flat", "House", LABEL, "SCORE_A", ["UPRN"]))
 
 
 @query
 def group_threshold_temporal(spark, sf_dir):
-    rows = scored(spark, sf_dir)
+    rows = stored(scored(spark, sf_dir).select("PROPERTY_TYPE", LABEL, "SCORE_A", "FILE_YEAR"))
     out = decisions.group_threshold_by_year(
         rows, "PROPERTY_TYPE", "Flat", "House", LABEL, "SCORE_A", "FILE_YEAR", 2000, 2001, min_rows=20
     )
@@ -750,7 +761,7 @@ def group_threshold_temporal(spark, sf_dir):
 @query
 def city_evaluation(spark, sf_dir):
     return rounded(
-        decisions.city_table(scored(spark, sf_dir), city_members(spark, sf_dir, [CITY]), "UPRN", "LOCAL_AUTHORITY",
+        decisions.city_table(scored_cities(spark, sf_dir), city_members(spark, sf_dir, [CITY]), "UPRN", "LOCAL_AUTHORITY",
                              LABEL, "PRED_A")
     )
 
@@ -758,14 +769,14 @@ def city_evaluation(spark, sf_dir):
 @query
 def city_table(spark, sf_dir):
     return rounded(
-        decisions.city_table(scored(spark, sf_dir), city_members(spark, sf_dir, CITIES), "UPRN", "LOCAL_AUTHORITY",
+        decisions.city_table(scored_cities(spark, sf_dir), city_members(spark, sf_dir, CITIES), "UPRN", "LOCAL_AUTHORITY",
                              LABEL, "PRED_A")
     )
 
 
 @query
 def proportion_ztest(spark, sf_dir):
-    found = decisions.city_table(scored(spark, sf_dir), city_members(spark, sf_dir, CITIES), "UPRN",
+    found = decisions.city_table(scored_cities(spark, sf_dir), city_members(spark, sf_dir, CITIES), "UPRN",
                                  "LOCAL_AUTHORITY", LABEL, "PRED_A", p_values=True)
     return found.select("LOCAL_AUTHORITY", "positive_rate", "rest_positive_rate", "z", "p_value")
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -53,6 +53,17 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str = "stage") -> DataFrame:
+    """The table written once to the shared folder and read back.
+
+    For tables that several passes read: the work behind them is done once, and neither a later pass
+    nor the loss of an executor repeats it.
+    """
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """Number of shuffle partitions, the yardstick for how finely an ordering is cut."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from certiscope import vocab
 
@@ -23,12 +24,14 @@ _HEAT = "cast(floor(c_acctbal) as int)"
 _CO2 = "cast(l_partkey % 97 as int)"
 
 
+_LIMITS = {92: "A", 81: "B", 69: "C", 55: "D", 39: "E", 21: "F", 0: "G"}
+_HIGHEST = 110
+_LETTERS = "".join(next(r for limit, r in _LIMITS.items() if s >= limit) for s in range(_HIGHEST + 1))
+
+
 def _band(score: str) -> str:
-    """Rating letter of a score."""
-    return (
-        f"case when {score} >= 92 then 'A' when {score} >= 81 then 'B' when {score} >= 69 then 'C' "
-        f"when {score} >= 55 then 'D' when {score} >= 39 then 'E' when {score} >= 21 then 'F' else 'G' end"
-    )
+    """Rating letter of a score, looked up by position: the score is computed once."""
+    return f"substring('{_LETTERS}', 1 + {score}, 1)"
 
 
 def _score(raw: str) -> str:
@@ -47,8 +50,8 @@ COLUMNS: dict[str, tuple[str, str]] = {
     "CURRENT_ENERGY_EFFICIENCY": (_CUR, "part"),
     "POTENTIAL_ENERGY_EFFICIENCY": (_POT, "part"),
     "CURRENT_ENERGY_RATING": (
-        f"case when l_suppkey % 50 = 7 then 'Z' when l_linenumber = 2 then concat(' ', {_band(_CUR)}) "
-        f"when l_linenumber = 3 and {_band(_CUR)} = 'G' then 'g' else {_band(_CUR)} end", "part"),
+        f"case when l_suppkey % 50 = 7 then 'Z' else concat(if(l_linenumber = 2, ' ', ''), "
+        f"translate({_band(_CUR)}, if(l_linenumber = 3, 'G', ''), 'g')) end", "part"),
     "POTENTIAL_ENERGY_RATING": (_band(_POT), "part"),
     "PROPERTY_TYPE": (
         "case p_type when 'MEDIUM' then 'House' when 'ECONOMY' then 'Flat' when 'SMALL' then 'Maisonette' "
@@ -93,8 +96,24 @@ _JOINS = {
 }
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables; its schema is read from the footer once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a table that has fewer files than there are cores, dealt out over the cores.
+
+    A table of many files is split by its scan and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
 
 
 def certificates(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
@@ -106,7 +125,7 @@ def certificates(spark: SparkSession, sf_dir: str, columns: list[str] | None = N
         while step:
             needed.add(step)
             step = _JOINS[step][1]
-    df = table(spark, sf_dir, "lineitem")
+    df = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
     for name, (condition, _) in _JOINS.items():
         if name in needed:
             df = df.join(table(spark, sf_dir, name), F.expr(condition))
