@@ -9,6 +9,7 @@ ever sorted together. All results are exact, whatever the cuts are.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Row
@@ -24,14 +25,19 @@ SMALL_TABLE_ROWS = 10_000
 
 
 def score_cuts(df: DataFrame, score: str, buckets: int | None = None) -> list[float]:
-    """Cut points that split the rows into about equally full ranges of ``score``.
+    """Cut points that split the rows into about equally full ranges of ``score``."""
+    return sorted(cut_shares(df, score, buckets))
+
+
+def cut_shares(df: DataFrame, score: str, buckets: int | None = None) -> dict[float, int]:
+    """The cut points with how often each came up; above 1 the value alone fills that many ranges.
 
     One scan of one column. The result is a fixed number of doubles, used only to spread the work.
     """
     wanted = buckets or min(MAX_BUCKETS, 4 * shuffle_width(df.sparkSession))
     probs = [i / wanted for i in range(1, wanted)]
     found = df.approxQuantile(score, probs, 1 / (4 * wanted)) if probs else []
-    return sorted({c for c in found if c is not None and math.isfinite(c)})
+    return dict(Counter(c for c in found if c is not None and math.isfinite(c)))
 
 
 def with_score_bucket(df: DataFrame, score: str, cuts: list[float]) -> DataFrame:

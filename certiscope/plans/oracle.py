@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from certiscope import vocab
 from certiscope.operators.decisions import MIN_DISTRICT, MIN_GROUP, MIN_POSITIVES
+from certiscope.operators.resampling import PRIME, replicate_constants
 
 
 def _band(s: str) -> str:
@@ -246,6 +247,37 @@ b AS (SELECT *, CAST(CASE WHEN x < lo + g * w THEN g - 1 WHEN g < 39 AND x >= lo
 SELECT RETROFIT_POTENTIAL, bin, round(max(lo) + bin * max(w), 8) AS left_edge, count(*) AS count, round(count(*) / (max(n) * max(w)), 8) AS density FROM b GROUP BY 1, 2"""
 
 
+def _bootstrap(replicates: int = 20) -> str:
+    """ROC-AUC of every model and replicate, with the same Poisson weights per cell of equal scores."""
+    constants = ", ".join(f"({b}, {a}, {c})" for b, (a, c) in enumerate(replicate_constants(replicates, 42)))
+    return f"""{TEST},
+cell AS (SELECT RETROFIT_POTENTIAL AS label, SCORE_A AS a, SCORE_B AS b, count(*) AS c, {_hash('RETROFIT_POTENTIAL, SCORE_A, SCORE_B')} AS h FROM test GROUP BY 1, 2, 3),
+rep(r, mul, add) AS (VALUES {constants}),
+pmf AS (SELECT c, k, exp(k * ln(c) - c - lgamma(k + 1)) AS p FROM (SELECT DISTINCT c FROM cell), range(0, 5000) t(k) WHERE k <= c + 10 * sqrt(c) + 20),
+lim AS (SELECT c, floor(sum(p) OVER (PARTITION BY c ORDER BY k) * {PRIME}) AS l FROM pmf),
+drawn AS (SELECT label, a, b, c, h, r, (h % {PRIME} * mul + add) % {PRIME} AS u FROM cell, rep),
+weight AS (SELECT label, a, b, r, count(l) AS w FROM drawn d LEFT JOIN lim ON lim.c = d.c AND lim.l <= d.u GROUP BY label, a, b, r),
+joint AS (SELECT 'A' AS model, r, a AS score, label, w FROM weight UNION ALL SELECT 'B', r, b, label, w FROM weight),
+sc AS (SELECT model, r, score, sum(w * label) AS pos, sum(w * (1 - label)) AS neg FROM joint GROUP BY 1, 2, 3),
+run AS (SELECT *, sum(pos) OVER (PARTITION BY model, r ORDER BY score DESC) AS cp FROM sc),
+draws AS (SELECT model, r, sum(neg * (cp - pos + pos / 2.0)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)) AS auc FROM run GROUP BY 1, 2)"""
+
+
+_FOLDS = [(list(range(1995, y)), y) for y in range(1997, 2002)]
+
+
+def _fold_rows() -> str:
+    parts = []
+    for years, test_year in _FOLDS:
+        for side, wanted, total in (("train", years, 2000), ("test", [test_year], 500)):
+            listed = ", ".join(map(str, wanted))
+            parts.append(
+                f"SELECT {test_year} AS test_year, '{side}' AS side, count(*) AS n, round(avg(RETROFIT_POTENTIAL), 6) AS positive_rate "
+                f"FROM ranked WHERE FILE_YEAR IN ({listed}) AND rn <= {total // len(wanted)}"
+            )
+    return " UNION ALL ".join(parts)
+
+
 SQL: dict[str, str] = {
     "csv_scan": f"WITH {CERT} SELECT UPRN, LODGEMENT_DATE, CAST(TIE1 AS VARCHAR) AS TIE1, CAST(TIE2 AS VARCHAR) AS TIE2, CAST(TIE3 AS VARCHAR) AS TIE3, CURRENT_ENERGY_RATING, nullif(WALLS_ENERGY_EFF, 'N/A') AS WALLS_ENERGY_EFF, WALLS_DESCRIPTION, CAST(TOTAL_FLOOR_AREA AS VARCHAR) AS TOTAL_FLOOR_AREA FROM cert",
     "yearly_scan": f"WITH {CERT} SELECT FILE_YEAR, count(*) AS n, min(LODGEMENT_DATE) AS first_date, max(LODGEMENT_DATE) AS last_date, count(TOTAL_FLOOR_AREA) AS with_area FROM cert GROUP BY 1",
@@ -343,4 +375,17 @@ UNION ALL SELECT model, 'accuracy', round(acc, 6), round(acc, 6), round(acc, 6),
     "city_table": _city(["NATION_3", "NATION_7", "NATION_12"]),
     "district_summary": _DISTRICTS + " SELECT * FROM dist",
     "district_extremes": _DISTRICTS + " SELECT (SELECT district FROM dist ORDER BY predicted_positive_rate, district LIMIT 1) AS lowest_district, min(predicted_positive_rate) AS lowest_rate, (SELECT district FROM dist ORDER BY predicted_positive_rate DESC, district LIMIT 1) AS highest_district, max(predicted_positive_rate) AS highest_rate FROM dist",
+    "bootstrap_auc": f"WITH {_bootstrap()}, obs AS (SELECT model, sum(neg * (cp - pos + pos / 2.0)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)) AS roc_auc FROM (SELECT model, pos, neg, sum(pos) OVER (PARTITION BY model ORDER BY score DESC) AS cp FROM (SELECT model, score, sum(label) AS pos, sum(1 - label) AS neg FROM (SELECT 'A' AS model, SCORE_A AS score, RETROFIT_POTENTIAL AS label FROM test UNION ALL SELECT 'B', SCORE_B, RETROFIT_POTENTIAL FROM test) GROUP BY 1, 2)) GROUP BY 1) SELECT model, round(any_value(roc_auc), 6) AS roc_auc, round(quantile_cont(auc, 0.025), 6) AS ci_low, round(quantile_cont(auc, 0.975), 6) AS ci_high, count(*) AS n_resamples FROM draws JOIN obs USING (model) GROUP BY model",
+    "bootstrap_gap": f"WITH {_bootstrap()}, g AS (SELECT r, max(auc) FILTER (model = 'A') - max(auc) FILTER (model = 'B') AS gap FROM draws GROUP BY r) SELECT 'A' AS top_model, 'B' AS second_model, round(avg(gap), 6) AS gap, round(quantile_cont(gap, 0.025), 6) AS gap_ci_low, round(quantile_cont(gap, 0.975), 6) AS gap_ci_high, round(avg(CAST(gap > 0 AS INTEGER)), 6) AS share_ahead, count(*) AS n_resamples FROM g",
+    "walk_forward_folds": f"WITH {PREP}, ranked AS (SELECT *, row_number() OVER (PARTITION BY FILE_YEAR ORDER BY {_hash('UPRN')}, UPRN) AS rn FROM prep) " + _fold_rows(),
+    "walk_forward_summary": f"""WITH {PREP}, cells AS (SELECT FILE_YEAR AS y, SCORE_A AS score, sum(RETROFIT_POTENTIAL) AS pos, sum(1 - RETROFIT_POTENTIAL) AS neg FROM prep WHERE FILE_YEAR >= 1997 GROUP BY 1, 2),
+run AS (SELECT *, sum(pos) OVER (PARTITION BY y ORDER BY score DESC) AS cp FROM cells),
+per AS (SELECT y, sum(neg * (cp - pos + pos / 2.0)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)) AS auc, sum(pos) FILTER (score >= 0.5) AS tp, sum(neg) FILTER (score >= 0.5) AS fp, sum(pos) FILTER (score < 0.5) AS fn, sum(neg) FILTER (score < 0.5) AS tn FROM run GROUP BY y),
+m AS (SELECT y, auc, {_F1M} AS f1 FROM per)
+SELECT round(min(auc), 6) AS auc_min, round(max(auc), 6) AS auc_max, round(avg(f1) FILTER (y <= 1999), 6) AS f1_early, round(avg(f1) FILTER (y >= 2000), 6) AS f1_late FROM m""",
+    "most_chosen_setting": f"""WITH {PREP}, r AS (SELECT RETROFIT_POTENTIAL AS label, SCORE_A AS score, (row_number() OVER (PARTITION BY RETROFIT_POTENTIAL ORDER BY {_hash('UPRN')}, UPRN) - 1) * 5 // count(*) OVER (PARTITION BY RETROFIT_POTENTIAL) AS fold FROM prep),
+s AS (SELECT fold, h, {_COUNTS} FROM (SELECT fold, h, label, CAST(score >= h / 100.0::DOUBLE AS INTEGER) AS pred FROM r, (VALUES (30), (40), (50), (60), (70)) t(h)) GROUP BY 1, 2),
+best AS (SELECT fold, h FROM s QUALIFY row_number() OVER (PARTITION BY fold ORDER BY round({_F1}, 6) DESC, h) = 1)
+SELECT CAST(h AS INTEGER) AS hundredths, count(*) AS n_folds FROM best GROUP BY h ORDER BY count(*) DESC, min(fold) LIMIT 1""",
+    "incremental_load": f"WITH {PREP} SELECT UPRN, LODGEMENT_DATE, CURRENT_ENERGY_RATING, PROPERTY_TYPE, TIE1, TIE2, TIE3 FROM prep",
 }

@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from certiscope import vocab
 from certiscope.functions import columns as C
-from certiscope.operators import cleaning, decisions, dedup, features, joins, metrics, ordering, profiling, sampling
+from certiscope.operators import (
+    cleaning, decisions, dedup, features, joins, metrics, models, ordering, profiling, resampling, sampling,
+)
 from certiscope.plans.prepare import prepared_fixture as prepared
 from certiscope.session import stored, work_dir
 from certiscope.sources import geojson, register
 from certiscope.sources.fixture import KEYS, TIES, certificates, table
+from certiscope.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -792,3 +795,183 @@ def district_extremes(spark, sf_dir):
     rows = scored(spark, sf_dir, ["POSTCODE"])
     found = decisions.district_summary(rows, "POSTCODE", district_centres(spark, sf_dir), LABEL, "PRED_A")
     return rounded(decisions.district_extremes(rounded(found)))
+
+
+# --- resampling, walk-forward, choice of settings -----------------------------------------------
+
+_REPLICATES = 20
+
+
+def _two_scores(spark, sf_dir) -> DataFrame:
+    return stored(scored(spark, sf_dir).select(LABEL, *SCORES.values()))
+
+
+@query
+def bootstrap_auc(spark, sf_dir):
+    return rounded(resampling.bootstrap_auc(_two_scores(spark, sf_dir), LABEL, SCORES, _REPLICATES))
+
+
+@query
+def bootstrap_gap(spark, sf_dir):
+    drawn = resampling.bootstrap_replicates(_two_scores(spark, sf_dir), LABEL, SCORES, _REPLICATES)
+    return rounded(resampling.paired_gap(drawn, "A", "B"))
+
+
+@query
+def walk_forward_folds(spark, sf_dir):
+    """Size and positive rate of both sides of every fold."""
+    rows = stored(prepared(spark, sf_dir).select("UPRN", LABEL, "FILE_YEAR"))
+    parts = []
+    for train_years, test_year in models.walk_forward_years(range(1995, 2002)):
+        sides = {"train": (train_years, 2000), "test": ([test_year], 500)}
+        for side, (years, total) in sides.items():
+            picked = sampling.equal_sample(rows.where(F.col("FILE_YEAR").isin(years)), total, "FILE_YEAR", len(years), ["UPRN"])
+            parts.append(picked.agg(F.count(F.lit(1)).alias("n"), F.avg(LABEL).alias("positive_rate")).select(
+                F.lit(test_year).alias("test_year"), F.lit(side).alias("side"), "n", "positive_rate"))
+    return rounded(joins.stack(parts))
+
+
+@query
+def walk_forward_summary(spark, sf_dir):
+    """Yearly measures of one score, then their range and the means of early and late years."""
+    rows = stored(prepared(spark, sf_dir, ["SCORE_A"]).where("FILE_YEAR >= 1997").select("FILE_YEAR", LABEL, "SCORE_A"))
+    yearly = metrics.score_summary(rows, LABEL, "SCORE_A", ["FILE_YEAR"])
+    early, late = [1997, 1998, 1999], [2000, 2001]
+    return rounded(decisions.walk_forward_summary(yearly, "FILE_YEAR", "roc_auc", "f1_macro", early, late))
+
+
+@query
+def most_chosen_setting(spark, sf_dir):
+    """Best threshold by F1 in each of five folds, and the one chosen most often."""
+    rows = stored(prepared(spark, sf_dir, ["SCORE_A"]).select("UPRN", LABEL, "SCORE_A"))
+    folded = sampling.stratified_folds(rows, 5, LABEL, ["UPRN"])
+    sweep = decisions.threshold_sweep(folded, LABEL, "SCORE_A", [30, 40, 50, 60, 70], ["fold"])
+    best = F.max_by("hundredths", F.struct(F.round("f1", 6), -F.col("hundredths"))).alias("hundredths")
+    return models.most_chosen(sweep.groupBy("fold").agg(best), "fold", "hundredths")
+
+
+# --- models (settings are smaller than the defaults of the operators) ---------------------------
+
+
+def model_table(spark, sf_dir) -> tuple[DataFrame, features.FeatureEncoder]:
+    """Rows with label and feature vector; the encoder is fitted on the training years."""
+    rows = model_rows(spark, sf_dir, ["LOCAL_AUTHORITY"])
+    enc = features.fit_features(rows.where("split = 'train'"))
+    kept = ["UPRN", "split", "FILE_YEAR", "LOCAL_AUTHORITY", F.col(LABEL).alias("label"), "features"]
+    return stored(enc.transform(rows).select(*kept)), enc
+
+
+def _sides(table_: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Weighted training rows and test rows."""
+    train = models.balanced(table_.where("split = 'train'"))
+    return train, table_.where("split = 'test'").withColumn(models.WEIGHT, F.lit(1.0))
+
+
+def _test_measures(scores: DataFrame, name: str) -> DataFrame:
+    summary = metrics.score_summary(stored(scores.select("label", "s")), "label", "s")
+    wanted = ["n", "accuracy", "precision", "recall", "f1_macro", "roc_auc", "average_precision"]
+    return summary.select(F.lit(name).alias("model"), *wanted)
+
+
+@query
+def logistic_fit(spark, sf_dir):
+    train, test = _sides(model_table(spark, sf_dir)[0])
+    model = models.logistic(train.count(), C=1.0, max_iter=100).fit(train)
+    return _test_measures(models.score(model, test, "s"), "logistic")
+
+
+@query
+def naive_fit(spark, sf_dir):
+    rows = model_rows(spark, sf_dir)
+    enc = features.fit_features(rows.where("split = 'train'"), models.naive_inputs(vocab.RATINGS_WORST_FIRST))
+    train, test = _sides(enc.transform(rows).withColumnRenamed(LABEL, "label"))
+    model = models.logistic(train.count(), C=1.0, max_iter=100).fit(train)
+    return _test_measures(models.score(model, test, "s"), "naive")
+
+
+@query
+def forest_fit(spark, sf_dir):
+    train, test = _sides(model_table(spark, sf_dir)[0])
+    model = models.forest(max_features="0.3", trees=20, depth=8).fit(train)
+    return _test_measures(models.score(model, test, "s"), "forest")
+
+
+@query
+def boosting_fit(spark, sf_dir):
+    table_, _ = model_table(spark, sf_dir)
+    train = models.boosted_weights(table_.where("split = 'train'"))
+    model = models.boosting(max_depth=4, rate=0.1, rounds=10).fit(train)
+    return _test_measures(models.score(model, _sides(table_)[1], "s"), "boosting")
+
+
+@query
+def calibrated_svm_fit(spark, sf_dir):
+    table_, _ = model_table(spark, sf_dir)
+    model = models.fit_calibrated_svm(table_.where("split = 'train'"), ["UPRN"], C=1.0, folds=3, max_iter=30)
+    return _test_measures(model.transform(table_.where("split = 'test'"), "s"), "svm")
+
+
+@query
+def nested_search(spark, sf_dir):
+    table_, _ = model_table(spark, sf_dir)
+    train = table_.where("split = 'train'").select("UPRN", "label", "features")
+
+    def build(rows, C):
+        return models.logistic(rows, C, max_iter=30)
+
+    folds, _ = models.nested_cv(train, build, {"C": [0.01, 1]}, ["UPRN"], outer=3, inner=2)
+    return models.fold_summary(folds)
+
+
+@query
+def walk_forward_fit(spark, sf_dir):
+    rows = model_rows(spark, sf_dir).withColumnRenamed(LABEL, "label")
+
+    def sample(part, n_years):
+        return sampling.equal_sample(part, 2000 if n_years > 1 else 500, "FILE_YEAR", n_years, ["UPRN"])
+
+    folds = models.walk_forward_years(range(1995, 2002))[-2:]
+    return models.walk_forward(rows, folds, "FILE_YEAR", lambda: models.forest(max_features="0.3", trees=10, depth=6),
+                               features.fit_features, sample)
+
+
+@query
+def city_scoring(spark, sf_dir):
+    """A fitted model applied to the test rows of one city."""
+    train, test = _sides(model_table(spark, sf_dir)[0])
+    model = models.logistic(train.count(), C=1.0, max_iter=100).fit(train)
+    city = test.where(F.col("LOCAL_AUTHORITY") == CITY)
+    return models.score(model, city, "score", ["UPRN", "label"]).withColumn("flagged", metrics.classify("score"))
+
+
+@query
+def built_in_importance(spark, sf_dir):
+    table_, enc = model_table(spark, sf_dir)
+    model = models.forest(max_features="0.3", trees=10, depth=6).fit(_sides(table_)[0])
+    return metrics.top_by_size(models.importances(spark, model, enc.names), "feature", "importance", 20)
+
+
+@query
+def permutation_importance(spark, sf_dir):
+    table_, enc = model_table(spark, sf_dir)
+    train, test = _sides(table_)
+    model = models.logistic(train.count(), C=1.0, max_iter=100).fit(train)
+    found = models.permutation_importance(model, test, enc.names, ["UPRN"], repeats=2)
+    return metrics.top_by_size(found, "feature", "importance", 20)
+
+
+# --- incremental load ---------------------------------------------------------------------------
+
+
+@query
+def incremental_load(spark, sf_dir):
+    """Yearly files arrive one by one; the result equals the preparation of all of them together."""
+    columns = [*vocab.REQUIRED_COLUMNS, "FILE_YEAR", *TIES, "TOTAL_FLOOR_AREA", "NUMBER_HABITABLE_ROOMS",
+               "CO2_EMISSIONS_CURRENT", "HEATING_COST_CURRENT"]
+    raw = certificates(spark, sf_dir, columns)
+    path, out, checkpoint = (work_dir(spark, n) for n in ("arriving", "loaded", "progress"))
+    raw.repartition("FILE_YEAR").write.parquet(path)
+    stream = incremental.watch_files(spark, path, raw.schema, files_per_batch=3)
+    incremental.start_load(stream, out, checkpoint, "FILE_YEAR", TIES).awaitTermination()
+    now = incremental.current(spark, out, "FILE_YEAR", TIES)
+    return now.select("UPRN", "LODGEMENT_DATE", "CURRENT_ENERGY_RATING", "PROPERTY_TYPE", *TIES)
