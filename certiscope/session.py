@@ -33,19 +33,23 @@ def local_session(app: str = "certiscope", cores: int | str = "*", partitions: i
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may do without the setting: it gets a fresh temporary folder.
+    Only a local master may do without the setting: it gets one temporary folder per application.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="certiscope-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="certiscope-")
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
