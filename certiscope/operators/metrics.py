@@ -88,7 +88,9 @@ def score_cells(df: DataFrame, label: str, score: str, groups: list[str] = ()) -
     rows is one cell.
     """
     groups = list(groups)
-    base = df.dropna(subset=[label, score, *groups]).select(
+    for c in [label, score, *groups]:
+        df = df.where(F.col(c).isNotNull())
+    base = df.where(~F.isnan(score)).select(
         *groups, F.col(label).cast("bigint").alias("_label"), (-F.col(score)).alias(RANK)
     )
     base = with_score_bucket(base, RANK, score_cuts(base, RANK))

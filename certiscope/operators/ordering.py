@@ -44,9 +44,10 @@ def with_score_bucket(df: DataFrame, score: str, cuts: list[float]) -> DataFrame
     """Add the number of the range that ``score`` falls in; lower ranges hold lower scores."""
     if not cuts:
         return df.withColumn(BUCKET, F.lit(0))
+    # Never NULL, so that no join adds a filter that keeps Spark from reusing the shuffle below it.
     splits = [-math.inf, *cuts, math.inf]
     out = Bucketizer(splits=splits, inputCol=score, outputCol=BUCKET, handleInvalid="keep").transform(df)
-    return out.withColumn(BUCKET, F.col(BUCKET).cast("int"))
+    return out.withColumn(BUCKET, F.coalesce(F.col(BUCKET).cast("int"), F.lit(0)))
 
 
 def hash_bucket(hash_column: str) -> Column:
@@ -114,9 +115,9 @@ def order_cuts(
                 (F.col("_rank") - F.col("_upto") + F.col("_in")).alias("_at"))
     )
     inside = Window.partitionBy(*strata, BUCKET, "quota").orderBy(*order)
-    # One row per stratum and quota: the small side of the join by construction.
+    wanted_buckets, _ = settle_small(hit)  # one row per stratum and quota
     return (
-        narrow.join(hit, [*strata, BUCKET])
+        narrow.join(wanted_buckets, [*strata, BUCKET])
         .withColumn("_rn", F.row_number().over(inside))
         .where(F.col("_rn") == F.col("_at"))
         .select(*strata, "quota", F.struct(*order).alias("key"))
@@ -126,13 +127,13 @@ def order_cuts(
 def settle_small(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> tuple[DataFrame, list[Row] | None]:
     """Evaluate a table that is expected to be small, once.
 
-    Up to ``limit`` rows come back as a local table of known size, which Catalyst broadcasts by
-    itself. A larger table is handed back as it was and joins through a shuffle.
+    Up to ``limit`` rows come back as a local table marked for broadcast. A larger table is handed back
+    as it was and joins through a shuffle.
     """
     rows = df.limit(limit + 1).collect()
     if len(rows) > limit:
         return df, None
-    return df.sparkSession.createDataFrame(rows, df.schema), rows
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), rows
 
 
 def attach_cuts(df: DataFrame, cuts: DataFrame, quota_names: list[str], strata: list[str] = ()) -> DataFrame:
@@ -215,7 +216,7 @@ def _bracketed(df: DataFrame, brackets: list[tuple], probs: list[float]) -> list
     last = F.col("upto") - F.col("c")
     ends = (
         cells.withColumn("upto", F.sum("c").over(run))
-        .join(plan, "k")
+        .join(F.broadcast(plan), "k")  # one row per column and quantile
         .withColumn("upto", F.col("upto") + F.col("start"))
         .where((F.col("upto") >= F.col("lo")) & (last < F.col("hi")))
         .groupBy("k")
