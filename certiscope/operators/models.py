@@ -169,13 +169,14 @@ def grid_search(df: DataFrame, build: Builder, grid: dict[str, list], keys: list
     tried = settings(grid)
     rows = df.count() * (folds - 1) // folds
     estimators = [build(rows=rows, **s) for s in tried]
-    folded = stratified_folds(df, folds, label, keys, seed, "_fold")
+    folded = stratified_folds(df, folds, label, keys, seed, "_fold").persist()
     stages = Pipeline(stages=[])
     maps = [{stages.stages: [e]} for e in estimators]
     search = CrossValidator(
         estimator=stages, estimatorParamMaps=maps, evaluator=MacroF1(label), numFolds=folds, foldCol="_fold",
         parallelism=parallelism, seed=seed,
     ).fit(folded)
+    folded.unpersist()
     means = list(search.avgMetrics)
     best = max(range(len(means)), key=lambda i: (means[i], -i))
     return tried[best], means[best]
