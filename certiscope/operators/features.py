@@ -14,7 +14,8 @@ from certiscope.functions import columns as C
 from certiscope.operators.cleaning import check_no_leak, present
 from certiscope.operators.ordering import exact_quantiles
 
-MAX_CATEGORIES = 1000  # per one-hot column; more is refused, not truncated
+# Per one-hot column; more is refused, not truncated. Low enough for Spark to limit rows per task first.
+MAX_CATEGORIES = 500
 
 
 @dataclass

@@ -166,13 +166,17 @@ def crosstab_percent(df: DataFrame, rows: str, cols: str, order: list[str]) -> D
 
 
 def rate_by_band(df: DataFrame, band: str, label: str, order: list[str]) -> DataFrame:
-    """Label rate per band with the place of the band, against the overall mean of the table."""
-    grouped = df.groupBy(band).agg(F.count(label).alias("n"), F.sum(label).alias("hits"))
+    """Label rate per band with the place of the band, against the overall mean of the table.
+
+    Values outside ``order`` count for the overall mean only, as one group.
+    """
+    known = F.when(F.col(band).isin(order), F.col(band)).alias(band)
+    grouped = df.groupBy(known).agg(F.count(label).alias("n"), F.sum(label).alias("hits"))
     everything = Window.partitionBy()  # over the handful of band rows
     overall = F.sum("hits").over(everything) / F.sum("n").over(everything)
     place = F.array_position(F.array(*[F.lit(o) for o in order]), F.col(band))
     return (
         grouped.withColumn("overall_rate", overall)
-        .where(F.col(band).isin(order))
+        .where(F.col(band).isNotNull())
         .select(band, place.cast("int").alias("place"), "n", (F.col("hits") / F.col("n")).alias("rate"), "overall_rate")
     )
