@@ -14,8 +14,6 @@ LOCAL_SETTINGS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Longer generated methods are not compiled by the JVM and run many times slower.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
