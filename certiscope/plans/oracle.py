@@ -278,7 +278,26 @@ def _fold_rows() -> str:
     return " UNION ALL ".join(parts)
 
 
+_LEVELS = {
+    "PROPERTY_TYPE": _TYPES,
+    "BUILT_FORM": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
+    "TENURE": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+    "WALL_TYPE": ["cavity", "other", "solid"],
+}
+
+
+def _simple_matrix() -> str:
+    numbers = ["CURRENT_ENERGY_EFFICIENCY", "TOTAL_FLOOR_AREA", "NUMBER_HABITABLE_ROOMS"]
+    filled = [f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM prep)) AS {c}" for c in numbers]
+    age = f"CAST(coalesce({_MID}, (SELECT quantile_cont(CAST({_MID} AS DOUBLE), 0.5) FROM prep)) AS DOUBLE) AS AGE_BAND_YEAR"
+    dummies = [
+        f"CAST({c} = '{v}' AS INTEGER) AS \"{c}_{v.replace(' ', '_')}\"" for c, levels in _LEVELS.items() for v in levels[1:]
+    ]
+    return f"WITH {PREP} SELECT UPRN, {', '.join([*filled, age, *dummies])}, RETROFIT_POTENTIAL FROM prep"
+
+
 SQL: dict[str, str] = {
+    "build_feature_matrix": _simple_matrix(),
     "csv_scan": f"WITH {CERT} SELECT UPRN, LODGEMENT_DATE, CAST(TIE1 AS VARCHAR) AS TIE1, CAST(TIE2 AS VARCHAR) AS TIE2, CAST(TIE3 AS VARCHAR) AS TIE3, CURRENT_ENERGY_RATING, nullif(WALLS_ENERGY_EFF, 'N/A') AS WALLS_ENERGY_EFF, WALLS_DESCRIPTION, CAST(TOTAL_FLOOR_AREA AS VARCHAR) AS TOTAL_FLOOR_AREA FROM cert",
     "yearly_scan": f"WITH {CERT} SELECT FILE_YEAR, count(*) AS n, min(LODGEMENT_DATE) AS first_date, max(LODGEMENT_DATE) AS last_date, count(TOTAL_FLOOR_AREA) AS with_area FROM cert GROUP BY 1",
     "pruned_scan": f"WITH {CERT} SELECT UPRN AS uprn, POSTCODE AS postcode, LOCAL_AUTHORITY AS local_authority FROM cert",
