@@ -173,12 +173,12 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", page_id: s
     not read.
     """
     rules = stored(rules.select(F.lower("host").alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict").where("host != ''"), "rules")
-    sizes = rules.agg(F.collect_set(F.size(F.split("host", r"\\."))).alias("labels"), F.collect_set(F.length("path")).alias("lengths")).first()
+    sizes = rules.agg(F.collect_set(F.size(F.split("host", r"\."))).alias("labels"), F.collect_set(F.length("path")).alias("lengths")).first()
     host, path = host_of(F.col(url)), path_of(F.col(url))
     asked = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path")).withColumn(
         "keys", rule_keys(F.col("host"), F.col("path"), sorted(sizes["labels"]), sorted(sizes["lengths"])))
     universe = stored(asked.select(F.explode("keys").alias("key")).distinct(), "universe")
-    hashes = [F.transform("keys", lambda k, seed=seed: F.xxhash64(k, F.lit(seed))) for seed in (1, 2)]
+    hashes = [F.transform("keys", lambda k: F.xxhash64(k, F.lit(1))), F.transform("keys", lambda k: F.xxhash64(k, F.lit(2)))]
     hits = {}
     for verdict in ("allow", "block"):
         keys = rules.where(F.col("verdict") == verdict).select(F.concat("host", "path").alias("key"))
