@@ -6,15 +6,19 @@ Method
     fill, and a document stops as soon as they are full. Bins of two documents agree with a probability equal
     to their Jaccard similarity, concentrated as for independent draws. Groups of bins form band keys;
     documents that share a key are candidates, an estimate from the whole sketch thins them out, and what is
-    left is confirmed on the full shingle sets.
+    left is confirmed on the full shingle sets. The thinning has a second part that errs to one side only: one
+    bit a shingle is flipped in a small table, and two tables differ in no more bits than the sets differ in
+    shingles, so pairs with too many different bits are no links for certain.
 
 Scale
     Equal sets are merged before anything else, so exact copies cost one row. A large bucket is never turned
     into all its pairs. First each bucket is a chain (neighbours along another band's key, in slices of
     bounded size), and of the chain every document's most similar partner is confirmed; the links found are
     contracted. Then only buckets that still hold several components are searched, each document outside a
-    bucket's main component against the bucket, in blocks of bounded size and on sketches alone. So work grows
-    with the documents that are *not* linked yet, nothing is lost, and no group meets in one task.
+    bucket's main component against the bucket, in blocks of bounded size and on sketches alone: once for the
+    most similar pair of each component, which joins nearly all there is to join, and at last for every likely
+    pair across components. So work grows with the documents that are *not* linked yet, nothing is lost, and
+    no group meets in one task.
 
 Exactness
     Bands are chosen so that a link at the threshold is missed with probability at most ``MISS``; the
@@ -40,6 +44,7 @@ PERCENT = 80
 MISS = 1e-6
 MAX_BINS = 192
 SLICE = 1000
+PARITY_BITS = 1024
 
 _FULL = np.uint64(2**64 - 1)
 
@@ -96,7 +101,9 @@ def _sketches(bands: int, rows: int):
                 owner = np.repeat(np.arange(len(sets)), sizes)
                 sketch = fill_bins(np.concatenate(sets), owner, len(sets), bins)
                 keys = textops.mix((sketch.reshape(len(sets), bands, rows) * turns).sum(axis=2)).view(np.int64)
-                small = (textops.mix(sketch) & np.uint64(255)).astype(np.uint8)
+                small = np.concatenate([
+                    (textops.mix(sketch) & np.uint64(255)).astype(np.uint8), parities(sets),
+                    sizes.astype("<u4").view(np.uint8).reshape(-1, 4)], axis=1)
                 yield pa.record_batch({
                     "doc_id": part.column("doc_id"), "n_shingles": pa.array(sizes),
                     "digest": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
@@ -117,39 +124,72 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch({"doc_id": part.column("doc_id"), "items": pa.ListArray.from_arrays(pa.array(bounds), values)})
 
 
-def _rows(column: pa.Array, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, width)
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set one table of bits, each telling whether an odd number of its shingles falls there."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    at = (np.concatenate(sets) >> np.uint64(20)).astype(np.int64) % PARITY_BITS
+    odd = np.bincount(owner * PARITY_BITS + at, minlength=len(sets) * PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(len(sets), PARITY_BITS), axis=1)
 
 
-def _likely(width: int, least: float):
-    """Pairs whose sketches agree often enough, with the share of equal bins."""
+class Sketches:
+    """Sketches of many documents: bins, parity bits and set size of each."""
+
+    def __init__(self, column: pa.Array, bins: int, percent: int):
+        rows = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(len(column), -1)
+        self.bins, self.percent = rows[:, :bins], percent
+        self.bits = np.ascontiguousarray(rows[:, bins:-4]).view(np.uint64)
+        self.sizes = np.ascontiguousarray(rows[:, -4:]).view("<u4")[:, 0].astype(np.int64)
+
+    def equal(self, a, other: Sketches, b) -> np.ndarray:
+        """The number of equal bins of documents ``a`` and ``b`` (indices that broadcast); 0 where no link can be."""
+        share = self.percent / 100
+        least = self.bins.shape[1] * share - 5 * math.sqrt(self.bins.shape[1] * share * (1 - share))
+        differ = np.bitwise_count(self.bits[a] ^ other.bits[b]).sum(axis=-1, dtype=np.int64)
+        can = (100 + self.percent) * differ <= (100 - self.percent) * (self.sizes[a] + other.sizes[b])
+        found = np.asarray((self.bins[a] == other.bins[b]).sum(axis=-1))
+        return np.where(can & (found >= least), found, 0)
+
+
+def _likely(bins: int, percent: int):
+    """Pairs that can be links by their sketches, with the number of equal bins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            share = (_rows(batch.column("sketch_a"), width) == _rows(batch.column("sketch_b"), width)).mean(axis=1)
-            ok = pa.array(share >= least)
-            yield pa.record_batch({"a": batch.column("a").filter(ok), "b": batch.column("b").filter(ok),
-                                   "share": pa.array(share[share >= least])})
+            a, b = (Sketches(batch.column(c), bins, percent) for c in ("sketch_a", "sketch_b"))
+            equal = a.equal(slice(None), b, slice(None))
+            ok = pa.array(equal > 0)
+            yield pa.record_batch({"a": batch.column("a").filter(ok), "b": batch.column("b").filter(ok), "equal": pa.array(equal[equal > 0])})
 
     return run
 
 
-def _across(width: int, least: float):
-    """Pairs of different components inside each block of a bucket; blocks arrive sorted and are of bounded size."""
+def _across(bins: int, percent: int, best: bool):
+    """Pairs of different components inside each block of a bucket; blocks arrive sorted and are of bounded size.
+
+    All likely pairs, or with ``best`` only the most similar one of each component outside the main one.
+    """
 
     def pairs(ids, comps, minor, sketch):
-        found_a, found_b = [], []
-        rows = np.flatnonzero(minor)
-        every = np.flatnonzero(~minor)
-        for at in range(0, len(rows), 64):
+        found = [np.empty((0, 3), dtype=np.int64)]
+        rows, every = np.flatnonzero(minor), np.flatnonzero(~minor)
+        for at in range(0, len(rows) if len(every) else 0, 64):
             some = rows[at:at + 64]
-            near = (sketch[some][:, None, :] == sketch[every][None, :, :]).mean(axis=2) >= least
-            near &= comps[some][:, None] != comps[every][None, :]
-            i, j = np.nonzero(near)
-            found_a.append(ids[some[i]])
-            found_b.append(ids[every[j]])
-        a, b = np.concatenate(found_a or [ids[:0]]), np.concatenate(found_b or [ids[:0]])
-        return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+            equal = sketch.equal(some[:, None], sketch, every[None, :])
+            equal[comps[some][:, None] == comps[every][None, :]] = 0
+            if best:
+                top = equal.argmax(axis=1)
+                i = np.flatnonzero(equal[np.arange(len(some)), top])
+                j = top[i]
+            else:
+                i, j = np.nonzero(equal)
+            found.append(np.stack([some[i], every[j], equal[i, j]], axis=1))
+        i, j, equal = np.concatenate(found).T
+        if best and len(i):
+            order = np.lexsort((-equal, comps[i]))
+            first = order[np.concatenate([[True], comps[i[order]][1:] != comps[i[order]][:-1]])]
+            i, j = i[first], j[first]
+        return np.unique(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])], axis=1), axis=0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -168,9 +208,10 @@ def _across(width: int, least: float):
         if not batch.num_rows:
             return
         ids, comps = batch.column("id").to_numpy(), batch.column("comp").to_numpy()
-        minor, sketch = batch.column("minor").to_numpy(zero_copy_only=False), _rows(batch.column("sketch"), width)
+        minor = batch.column("minor").to_numpy(zero_copy_only=False)
         edges = [0, *[c for c in cuts if c < batch.num_rows], batch.num_rows]
-        found = [pairs(ids[s:e], comps[s:e], minor[s:e], sketch[s:e]) for s, e in zip(edges[:-1], edges[1:], strict=True)]
+        found = [pairs(ids[s:e], comps[s:e], minor[s:e], Sketches(batch.column("sketch").slice(s, e - s), bins, percent))
+                 for s, e in zip(edges[:-1], edges[1:], strict=True)]
         out = np.concatenate(found)
         yield pa.record_batch({"a": pa.array(out[:, 0]), "b": pa.array(out[:, 1])})
 
@@ -213,8 +254,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_
     with nothing: its component_id is null and it is kept. Other columns are not read.
     """
     bands, rows = banding(percent)
-    width, share = bands * rows, percent / 100
-    least = share - 5 * math.sqrt(share * (1 - share) / width)
+    bins = bands * rows
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketched = stored(docs.mapInArrow(
         _sketches(bands, rows), "doc_id long, n_shingles long, digest binary, sketch binary, bands array<long>"), "sketches")
@@ -240,32 +280,28 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_
     neighbours = buckets.select(F.lag("id").over(chain).alias("before"), "id").where("before IS NOT NULL AND before != id").select(
         F.least("before", "id").alias("a"), F.greatest("before", "id").alias("b")).distinct()
     likely = stored(with_sketches(neighbours).select("a", "b", "sketch_a", "sketch_b").mapInArrow(
-        _likely(width, least), "a long, b long, share double"), "likely")
+        _likely(bins, percent), "a long, b long, equal long"), "likely")
 
-    both = likely.union(likely.select("b", "a", "share"))
-    closest = both.groupBy("a").agg(F.max_by("b", F.struct("share", -F.col("b"))).alias("b")).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    closest = stored(closest, "closest")
+    both = likely.union(likely.select("b", "a", "equal"))
+    closest = stored(both.groupBy("a").agg(F.max_by("b", F.struct("equal", -F.col("b"))).alias("b")).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "closest")
     sets = stored(_item_sets(docs, closest), "sets")
     linked = components(_confirmed(closest, sets, percent))
-
-    def component_of(df, ids):
-        names = linked.select(F.col("id").alias(ids), F.col("comp").alias(f"comp_{ids}"))
-        return df.join(names, ids, "left").withColumn(f"comp_{ids}", F.coalesce(f"comp_{ids}", ids))
-
-    open_pairs = component_of(component_of(likely, "a"), "b").where("comp_a != comp_b").select("a", "b")
-    open_pairs = open_pairs.join(closest, ["a", "b"], "left_anti")
-    rest = stored(open_pairs.union(_between(buckets, linked, sketches, width, least)).distinct(), "open-pairs")
+    tested = closest
+    for best in (True, False):
+        asked = _between(buckets, linked, sketches, bins, percent, best)
+        if not best:
+            ends = _component_of(_component_of(likely, linked, "a"), linked, "b")
+            asked = asked.union(ends.where("comp_a != comp_b").select("a", "b")).distinct()
+        asked = stored(asked.join(tested, ["a", "b"], "left_anti"), "asked")
+        if asked.isEmpty():
+            continue
+        new = asked.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(sets.select("doc_id"), "doc_id", "left_anti")
+        sets = sets.union(stored(_item_sets(docs, new.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"))), "sets"))
+        found = _component_of(_component_of(_confirmed(asked, sets, percent), linked, "a"), linked, "b")
+        linked = _joined(linked, components(found.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))))
+        tested = tested.union(asked)
     final = linked
-    if not rest.isEmpty():
-        known = sets.select("doc_id")
-        ends = rest.select(F.col("a").alias("doc_id")).union(rest.select(F.col("b").alias("doc_id"))).distinct()
-        more = stored(_item_sets(docs, _as_pairs(ends.join(known, "doc_id", "left_anti"))), "sets")
-        joined = component_of(component_of(_confirmed(rest, sets.union(more), percent), "a"), "b")
-        second = components(joined.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
-        ids = linked.union(second.select("id", F.col("id").alias("comp"))).groupBy("id").agg(F.min("comp").alias("comp"))
-        final = ids.join(second.select(F.col("id").alias("comp"), F.col("comp").alias("to")), "comp", "left").select(
-            "id", F.coalesce("to", "comp").alias("comp"))
     of_class = stored(classes.join(final, classes["rep"] == final["id"], "left").select(
         "digest", F.coalesce("comp", "rep").alias("component_id")), "class-components")
     out = sketched.select("doc_id", "n_shingles", F.when(F.expr("n_shingles > 0 AND doc_id IS NOT NULL"), F.col("digest")).alias("digest"))
@@ -274,13 +310,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_
                       F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def _as_pairs(ids: DataFrame) -> DataFrame:
-    return ids.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"))
+def _component_of(pairs: DataFrame, linked: DataFrame, end: str) -> DataFrame:
+    """Adds the component of one end of the pairs, the document itself where it has no link."""
+    names = linked.select(F.col("id").alias(end), F.col("comp").alias(f"comp_{end}"))
+    return pairs.join(names, end, "left").withColumn(f"comp_{end}", F.coalesce(f"comp_{end}", end))
+
+
+def _joined(linked: DataFrame, more: DataFrame) -> DataFrame:
+    """Components after links between components; ``more`` maps components, or documents without one so far."""
+    ids = linked.union(more.select("id", F.col("id").alias("comp"))).groupBy("id").agg(F.min("comp").alias("comp"))
+    moved = more.select(F.col("id").alias("comp"), F.col("comp").alias("to"))
+    return stored(ids.join(moved, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")), "components")
 
 
 def _item_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """(doc_id, items): the full shingle sets of all documents in the pairs."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "set-ids")
     return docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, items array<long>")
 
 
@@ -293,7 +338,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(met).select("a", "b")
 
 
-def _between(buckets: DataFrame, linked: DataFrame, sketches: DataFrame, width: int, least: float) -> DataFrame:
+def _between(buckets: DataFrame, linked: DataFrame, sketches: DataFrame, bins: int, percent: int, best: bool) -> DataFrame:
     """Likely pairs across the components that one bucket still holds.
 
     Every document outside the bucket's main component meets the whole bucket, in blocks of about SLICE by
@@ -315,4 +360,4 @@ def _between(buckets: DataFrame, linked: DataFrame, sketches: DataFrame, width:
         "key", "id", "comp", F.lit(False).alias("minor"), F.explode(F.sequence(F.lit(0), F.col("down") - 1)).alias("i"), F.pmod(at, "over").alias("j"))
     blocks = minor.union(every.select(*minor.columns)).select("id", "comp", "minor", F.xxhash64("key", F.col("i").cast("int"), F.col("j").cast("int")).alias("block"))
     blocks = blocks.join(sketches, "id").repartition("block").sortWithinPartitions("block")
-    return blocks.select("id", "comp", "minor", "block", "sketch").mapInArrow(_across(width, least), "a long, b long").distinct()
+    return blocks.select("id", "comp", "minor", "block", "sketch").mapInArrow(_across(bins, percent, best), "a long, b long").distinct()
