@@ -35,33 +35,32 @@ _TURNS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9],
 
 def grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(features, text of each feature in rising order) in pieces of bounded size; border characters keep texts apart."""
-    for k, start in ((k, s) for k, t in enumerate(texts) for s in range(0, max(1, len(t)), _CHARS)):
-        if k == 0 and start == 0:
-            block, owner, size = [], [], 0
-        body = texts[k][max(0, start - MAX_GRAM + 1):start + _CHARS].lower()
-        if start == 0:
-            body = "\0\0" + body
-        if start + _CHARS >= len(texts[k]):
-            body += "\0\0"
-        block.append(body)
-        owner.append((k, len(body)))
-        size += len(body)
-        if size >= _CHARS:
-            yield from _features(block, owner)
-            block, owner, size = [], [], 0
-    if texts and block:
+    block, owner, size = [], [], 0
+    for k, text in enumerate(texts):
+        for start in range(0, max(1, len(text)), _CHARS):
+            tail = text[max(0, start - MAX_GRAM + 1):start].lower()  # counted with the piece before
+            body = ("" if start else "\0\0") + tail + text[start:start + _CHARS].lower() + ("\0\0" if start + _CHARS >= len(text) else "")
+            block.append(body)
+            owner.append((k, len(body), len(tail)))
+            size += len(body)
+            if size >= _CHARS:
+                yield from _features(block, owner)
+                block, owner, size = [], [], 0
+    if block:
         yield from _features(block, owner)
 
 
-def _features(block: list[str], owner: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _features(block: list[str], owner: list[tuple[int, int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     codes = np.frombuffer("".join(block).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
-    texts = np.repeat([k for k, _ in owner], [n for _, n in owner])
-    piece = np.repeat(np.arange(len(owner)), [n for _, n in owner])
+    text, size, tail = np.array(owner).T
+    piece = np.repeat(np.arange(len(owner)), size)
+    fresh = np.arange(len(codes)) - np.repeat(np.cumsum(size) - size, size) >= np.repeat(tail, size)
     total = np.zeros(len(codes), dtype=np.uint64)
-    for n in range(MAX_GRAM):
-        total = total[:len(codes) - n] + (codes[n:] + np.uint64(1)) * _TURNS[n]
-        ok = (piece[n:] == piece[:len(piece) - n]) & ~((codes[:len(codes) - n] == 0) & (codes[n:] == 0))
-        yield (textops.mix(total[ok]) >> np.uint64(64 - BITS)).astype(np.int64), texts[:len(texts) - n][ok]
+    for n in range(min(MAX_GRAM, len(codes))):
+        first, last = slice(0, len(codes) - n), slice(n, None)
+        total = total[first] + (codes[last] + np.uint64(1)) * _TURNS[n]
+        ok = (piece[last] == piece[first]) & fresh[last] & ~((codes[first] == 0) & (codes[last] == 0))
+        yield (textops.mix(total[ok]) >> np.uint64(64 - BITS)).astype(np.int64), text[piece[first][ok]]
 
 
 def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray, np.ndarray]:

@@ -9,22 +9,24 @@ Method
     on the order of rows.
 
 Scale
-    One pass sums the tokens, with partial sums before the shuffle. Raking works on the cells alone and stores
-    them every round. The factors return to the documents by a join that Spark broadcasts when they are small.
+    One pass sums the tokens, with partial sums before the shuffle. Raking works on the cells alone, of which
+    there are at most sources x languages x topics however many documents there are, and stores them every
+    few rounds. The factors return to the documents by a join that Spark broadcasts when they are small.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from certiscope.session import stored
 
 DIMENSIONS = ("source", "lang", "topic")
 ROUNDS = 40
-TOLERANCE = 1e-9
+STORE_ROUNDS = 4
+TOLERANCE = 1e-12
 TEMPER = 0.5
 _WORD = r"[^\x20\x09-\x0D]+"
 _HASH_RANGE = 16**12
@@ -57,24 +59,24 @@ def tempered_targets(cells: DataFrame, temper: float = TEMPER) -> list[DataFrame
 def rake(cells: DataFrame, targets: list[DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
     """``cells`` (the dimensions and tokens) with ``weight``, whose sums by dimension have the target shares.
 
-    Levels without a target, or with target 0, get weight 0; targets of levels without tokens are spread over
-    the others. When the targets contradict each other, the last dimension's hold after the last round.
+    Levels without a target get weight 0; targets of levels without tokens are spread over the others. When
+    the targets contradict each other, the last dimension's hold after the last round.
     """
+    for d, target in zip(DIMENSIONS, targets, strict=True):
+        wanted = target.select(F.col(d).alias("level"), F.col("target").alias(f"target_{d}"))
+        cells = cells.join(wanted, F.col(d).eqNullSafe(F.col("level")), "left").drop("level")
     cells = stored(cells.withColumn("weight", F.col("tokens").cast("double")), "cells")
-    for _ in range(rounds):
-        for d, target in zip(DIMENSIONS, targets, strict=True):
-            sums = cells.groupBy(d).agg(F.sum("weight").alias("have")).select(F.col(d).alias("level"), "have")
-            wanted = target.select(F.col(d).alias("wanted_level"), "target")
-            factor = sums.join(wanted, F.col("level").eqNullSafe(F.col("wanted_level")), "left").select(
-                "level", F.when(F.col("have") > 0, F.coalesce("target", F.lit(0.0)) / F.col("have")).otherwise(0.0).alias("factor"))
-            cells = cells.join(factor, F.col(d).eqNullSafe(F.col("level"))).select(
-                *DIMENSIONS, "tokens", (F.col("weight") * F.col("factor")).alias("weight"), *(["old"] if "old" in cells.columns else [F.col("weight").alias("old")]))
+    for _ in range(0, rounds, STORE_ROUNDS):
+        start = F.col("weight").alias("start")
+        cells = cells.select(*[c for c in cells.columns if c != "start"], start)
+        for d in DIMENSIONS * STORE_ROUNDS:
+            have = F.sum("weight").over(Window.partitionBy(d))
+            cells = cells.withColumn("weight", F.when(have > 0, F.col("weight") * F.coalesce(f"target_{d}", F.lit(0.0)) / have).otherwise(0.0))
         cells = stored(cells, "raked")
-        far = cells.agg(F.max(F.abs(F.col("weight") - F.col("old")) / F.greatest("weight", F.lit(1e-300)))).first()[0]
-        cells = cells.drop("old")
+        far = cells.agg(F.max(F.abs(F.col("weight") - F.col("start")) / F.greatest("weight", F.lit(1e-300)))).first()[0]
         if far is None or far <= tolerance:
             break
-    return cells
+    return cells.select(*DIMENSIONS, "tokens", "weight")
 
 
 def mix(docs: DataFrame, temper: float = TEMPER, seed: int = 17, doc_id: str = "doc_id", text: str = "text",

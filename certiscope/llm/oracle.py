@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from certiscope.llm.mixing import TEMPER
+from certiscope.llm.mixing import ROUNDS, TEMPER
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -84,8 +84,8 @@ FROM documents LEFT JOIN lists USING (doc_id)
 """
 
 
-def _mixing(rounds: int = 25) -> str:
-    """Raking written out: as many rounds as both sides need to come to the same factors."""
+def _mixing(rounds: int = ROUNDS) -> str:
+    """Raking written out: the rounds of the operator."""
     steps, last = [], "w0"
     for k in range(rounds):
         for d in ("source", "lang", "topic"):
