@@ -105,11 +105,6 @@ def add_wall_type(df: DataFrame) -> DataFrame:
     return df.withColumn("WALL_TYPE", C.wall_type("WALLS_DESCRIPTION"))
 
 
-def add_year(df: DataFrame, date: str = "LODGEMENT_DATE", name: str = "YEAR") -> DataFrame:
-    """Year of the date; rows whose date cannot be read are dropped."""
-    return df.withColumn(name, F.year(C.iso_date(F.col(date).cast("string")))).where(F.col(name).isNotNull())
-
-
 def in_year(df: DataFrame, year: int, date: str = "LODGEMENT_DATE") -> DataFrame:
     """Half-open date range on the stored column, so that it reaches the parquet scan."""
     return df.where((F.col(date) >= f"{year}-01-01") & (F.col(date) < f"{year + 1}-01-01"))

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from certiscope import vocab
 from certiscope.functions.columns import low_rated, outward_code, ratio
 from certiscope.functions.stats import normal_two_sided
-from certiscope.operators.joins import flag_known
 from certiscope.operators.metrics import class_scores, confusion
 from certiscope.operators.ordering import BUCKET, attach_cuts, order_cuts, score_cuts, with_score_bucket
 from certiscope.operators.sampling import half_split
@@ -189,15 +188,14 @@ def group_threshold(df: DataFrame, group: str, focus: str, reference: str, label
 
 
 def group_threshold_by_year(df: DataFrame, group: str, focus: str, reference: str, label: str, score: str,
-                            year: str, tune_year: int, hold_year: int, min_rows: int = MIN_GROUP) -> DataFrame | None:
-    """As :func:`group_threshold`, chosen on one year and reported on the next; None when either is too small."""
+                            year: str, tune_year: int, hold_year: int, min_rows: int = MIN_GROUP) -> DataFrame:
+    """As :func:`group_threshold`, chosen on one year and reported on the next; no row when either is too small."""
     part = df.where(F.col(group) == focus)
     sizes = {r[0]: r[1] for r in part.where(F.col(year).isin(tune_year, hold_year)).groupBy(year).count().collect()}
-    if min(sizes.get(tune_year, 0), sizes.get(hold_year, 0)) < min_rows:
-        return None
     target = _reference_recall(df, group, reference, label, score)
     out = _tuned_threshold(part, label, score, F.col(year) == tune_year, F.col(year) == hold_year, target)
-    return out.withColumn("n_tune", F.lit(sizes[tune_year]).cast("bigint"))
+    enough = min(sizes.get(tune_year, 0), sizes.get(hold_year, 0)) >= min_rows
+    return out.withColumn("n_tune", F.lit(sizes.get(tune_year, 0)).cast("bigint")).where(F.lit(enough))
 
 
 def proportion_z(x1: Column, n1: Column, x2: Column, n2: Column) -> Column:
@@ -232,10 +230,6 @@ def city_table(scored: DataFrame, members: DataFrame, key: str, city: str, label
     return out.withColumn("p_value", normal_two_sided("z")) if p_values else out
 
 
-def split_by_city(scored: DataFrame, members: DataFrame, key: str, name: str = "in_city") -> DataFrame:
-    return flag_known(scored, members, key, name)
-
-
 def district_summary(df: DataFrame, postcode: str, centres: DataFrame, label: str, pred: str,
                      min_rows: int = MIN_DISTRICT) -> DataFrame:
     """Predicted and actual rate per postcode district with its centre; small and unknown districts left out."""

@@ -29,10 +29,12 @@ def latest_per_key(df: DataFrame, key: str = "UPRN", date: str = "LODGEMENT_DATE
                    file_year: str | None = None, ties: list[str] = ()) -> DataFrame:
     """Newest certificate per property: newest file first, then newest date, then the tie columns.
 
-    A table without the key or the date column is returned as it is.
+    A table without the key or the date column is returned as it is; case does not matter in names.
     """
-    if key not in df.columns or date not in df.columns:
+    named = {c.lower(): c for c in df.columns}
+    if key.lower() not in named or date.lower() not in named:
         return df
+    key, date = named[key.lower()], named[date.lower()]
     first = [file_year] if file_year else []
     return best_per_key(df, key, [*first, iso_date(F.col(date).cast("string")), *ties])
 

@@ -8,20 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def enrich(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -> DataFrame:
+def enrich(left: DataFrame, right: DataFrame, key: str | list[str], columns: list[str]) -> DataFrame:
     """Left join that must not change the number of rows.
 
     The uniqueness of the right key is checked inside the plan: the right side is grouped on the join
     key (the exchange that the join needs anyway) and a key that occurs twice stops the query.
     """
-    unique = right.groupBy(key).agg(
+    keys = [key] if isinstance(key, str) else list(key)
+    unique = right.groupBy(*keys).agg(
         F.min(F.struct(*columns)).alias("_right"), F.count(F.lit(1)).alias("_copies")
     )
-    message = F.concat(F.lit(f"{key} is not unique on the right side: "), F.col(key).cast("string"))
+    message = F.concat(F.lit(f"{', '.join(keys)} is not unique on the right side: "), F.concat_ws(", ", *keys))
     checked = unique.select(
-        key, F.when(F.col("_copies") > 1, F.raise_error(message)).otherwise(F.col("_right")).alias("_right")
+        *keys, F.when(F.col("_copies") > 1, F.raise_error(message)).otherwise(F.col("_right")).alias("_right")
     )
-    joined = left.join(checked, key, "left")
+    joined = left.join(checked, keys, "left")
     return joined.select(*left.columns, *[F.col("_right")[c].alias(c) for c in columns])
 
 
@@ -46,8 +47,17 @@ def stack(tables: list[DataFrame]) -> DataFrame:
 
 
 def attach_scores(rows: DataFrame, scores: DataFrame, key: str | list[str]) -> DataFrame:
-    """Join model scores by key. Row position never ties two tables together."""
-    return rows.join(scores, key, "inner")
+    """Join model scores by key; a row without a score and a key with two scores stop the query.
+
+    Row position never ties two tables together.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    columns = [c for c in scores.columns if c not in keys]
+    found = enrich(rows, scores.withColumn("_scored", F.lit(True)), keys, [*columns, "_scored"])
+    message = F.concat(F.lit("no score for "), F.concat_ws(", ", *keys))
+    first = columns[0]
+    checked = F.when(F.col("_scored").isNull(), F.raise_error(message)).otherwise(F.col(first))
+    return found.withColumn(first, checked).drop("_scored")
 
 
 def missing_in_dimension(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:

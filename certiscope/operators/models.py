@@ -117,8 +117,7 @@ class CalibratedSvm:
         columns, out, probabilities = df.columns, df, []
         for i, (machine, slope, offset) in enumerate(self.parts):
             raw = f"_raw{i}"
-            machine.setRawPredictionCol(raw).setPredictionCol(f"_pred{i}")
-            out = machine.transform(out)
+            out = machine.copy({machine.rawPredictionCol: raw, machine.predictionCol: f"_pred{i}"}).transform(out)
             probabilities.append(1 / (1 + F.exp(-(slope * vector_to_array(raw)[1] + offset))))
         return out.select(*columns, (sum(probabilities[1:], probabilities[0]) / len(probabilities)).alias(name))
 

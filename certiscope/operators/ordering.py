@@ -172,11 +172,13 @@ def exact_quantiles(
     A sketch brackets each wanted rank, one pass then counts what lies below the bracket and collects
     the few distinct values inside it. A single-buffer percentile would hold every distinct value of a
     column in one task. Rank errors of the sketch are bounded, and a bracket that still misses is
-    widened to the whole column.
+    widened to the whole column. NaN counts as missing.
     """
+    floats = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
+    df = df.select(*[F.nanvl(c, F.lit(None)).alias(c) if c in floats else F.col(c) for c in columns])
     around = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-3 * error, 3 * error)})
     out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
-    brackets = []
+    brackets, widened = [], set()
     for c, found in zip(columns, df.approxQuantile(columns, around, error)):
         at = dict(zip(around, found))  # empty when the column has no values
         for i, p in enumerate(probs):
@@ -186,6 +188,9 @@ def exact_quantiles(
         missed = []
         for (c, i, _, _), value in zip(brackets, _bracketed(df, brackets, probs)):
             if value is None:
+                if (c, i) in widened:
+                    raise ArithmeticError(f"no value of {c} has the rank of quantile {probs[i]}")
+                widened.add((c, i))
                 missed.append((c, i, -math.inf, math.inf))
             else:
                 out[c][i] = value

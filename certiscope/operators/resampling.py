@@ -189,9 +189,3 @@ def paired_gap(replicates: DataFrame, top: str, second: str) -> DataFrame:
         F.percentile("gap", F.lit(0.025)).alias("gap_ci_low"), F.percentile("gap", F.lit(0.975)).alias("gap_ci_high"),
         F.avg((F.col("gap") > 0).cast("int")).alias("share_ahead"), F.count("gap").alias("n_resamples"),
     )
-
-
-def top_two(observed: DataFrame) -> tuple[str, str]:
-    """Names of the two models with the largest observed ROC-AUC."""
-    rows = observed.orderBy(F.round("roc_auc", 4).desc(), "model").limit(2).collect()
-    return rows[0].model, rows[1].model

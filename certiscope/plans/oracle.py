@@ -389,7 +389,8 @@ UNION ALL SELECT model, 'accuracy', round(acc, 6), round(acc, 6), round(acc, 6),
     "recall_spread": _FAIR + " SELECT max(round(recall, 3)) AS highest, min(round(recall, 3)) AS lowest, round(max(round(recall, 3)) - min(round(recall, 3)), 6) AS spread FROM fair",
     "threshold_sweep": f"WITH {TEST}, s AS (SELECT CAST(h AS INTEGER) AS hundredths, {_COUNTS} FROM (SELECT h, RETROFIT_POTENTIAL AS label, CAST(SCORE_A >= h / 100.0::DOUBLE AS INTEGER) AS pred FROM test, (VALUES " + ", ".join(f"({h})" for h in vocab.SWEEP_HUNDREDTHS) + f") t(h) WHERE PROPERTY_TYPE = 'Flat') GROUP BY h) SELECT hundredths, round(hundredths / 100.0::DOUBLE, 6) AS threshold, round({_REC}, 6) AS recall, round({_PREC}, 6) AS \"precision\", round({_F1}, 6) AS f1, tp + fp AS flagged FROM s",
     "group_threshold": f"WITH {TEST}, part AS (SELECT *, row_number() OVER (ORDER BY {_hash('UPRN')}, UPRN) <= count(*) OVER () // 2 AS tune FROM test WHERE PROPERTY_TYPE = 'Flat'), " + _tuned("tune", "NOT tune"),
-    "group_threshold_temporal": f"WITH {TEST}, flats AS (SELECT * FROM test WHERE PROPERTY_TYPE = 'Flat'), " + _tuned("FILE_YEAR = 2000", "FILE_YEAR = 2001", ", (SELECT count(*) FROM flats WHERE FILE_YEAR = 2000) AS n_tune", "flats"),
+    "group_threshold_temporal": f"SELECT * FROM (WITH {TEST}, flats AS (SELECT * FROM test WHERE PROPERTY_TYPE = 'Flat'), " + _tuned("FILE_YEAR = 2000", "FILE_YEAR = 2001", ", (SELECT count(*) FROM flats WHERE FILE_YEAR = 2000) AS n_tune", "flats")
+    + f") WHERE (SELECT min(n) FROM (WITH {TEST} SELECT count(*) FILTER (FILE_YEAR = y) AS n FROM test, (VALUES (2000), (2001)) v(y) WHERE PROPERTY_TYPE = 'Flat' GROUP BY y)) >= {MIN_GROUP}",
     "city_evaluation": _city(["NATION_3"]),
     "city_table": _city(["NATION_3", "NATION_7", "NATION_12"]),
     "district_summary": _DISTRICTS + " SELECT * FROM dist",

@@ -9,7 +9,6 @@ from certiscope.operators import cleaning, dedup, sampling
 from certiscope.sources import fixture, register
 
 FIRST_TEST_YEAR = 2025
-SAMPLE_SIZES = {"train": 200_000, "test": 50_000}
 
 
 def prepare(raw: DataFrame, first_test_year: int = FIRST_TEST_YEAR, file_year: str = "FILE_YEAR",
@@ -33,16 +32,6 @@ def prepare_files(spark: SparkSession, paths: list[str], out: str, ties: list[st
     return register.read_prepared(spark, out)
 
 
-def development_samples(prepared: DataFrame, key: str = "UPRN") -> dict[str, DataFrame]:
-    """The smaller stratified samples of both splits."""
-    return {
-        split: sampling.stratified_sample_quota(
-            prepared.where(prepared.split == split), n, "RETROFIT_POTENTIAL", [key]
-        )
-        for split, n in SAMPLE_SIZES.items()
-    }
-
-
 # Columns that the cleaning step looks at.
 _CHECKED = [
     *vocab.REQUIRED_COLUMNS, "FILE_YEAR", *fixture.TIES, "TOTAL_FLOOR_AREA", "NUMBER_HABITABLE_ROOMS",

@@ -326,7 +326,7 @@ def enrich_left_join(spark, sf_dir):
 @query
 def attach_scores(spark, sf_dir):
     rows = prepared(spark, sf_dir).where("split = 'test'").select("UPRN", LABEL, *TIES)
-    scores = certificates(spark, sf_dir, [*KEYS, "SCORE_A"]).select("UPRN", *TIES, "SCORE_A")
+    scores = certificates(spark, sf_dir, [*KEYS, "SCORE_A"]).groupBy("UPRN", *TIES).agg(F.min("SCORE_A").alias("SCORE_A"))
     return joins.attach_scores(rows, scores, ["UPRN", *TIES])
 
 
@@ -756,7 +756,7 @@ def group_threshold(spark, sf_dir):
 def group_threshold_temporal(spark, sf_dir):
     rows = stored(scored(spark, sf_dir).select("PROPERTY_TYPE", LABEL, "SCORE_A", "FILE_YEAR"))
     out = decisions.group_threshold_by_year(
-        rows, "PROPERTY_TYPE", "Flat", "House", LABEL, "SCORE_A", "FILE_YEAR", 2000, 2001, min_rows=20
+        rows, "PROPERTY_TYPE", "Flat", "House", LABEL, "SCORE_A", "FILE_YEAR", 2000, 2001
     )
     return rounded(out)
 
@@ -970,7 +970,7 @@ def incremental_load(spark, sf_dir):
                "CO2_EMISSIONS_CURRENT", "HEATING_COST_CURRENT"]
     raw = certificates(spark, sf_dir, columns)
     path, out, checkpoint = (work_dir(spark, n) for n in ("arriving", "loaded", "progress"))
-    raw.repartition("FILE_YEAR").write.parquet(path)
+    raw.write.parquet(path)
     stream = incremental.watch_files(spark, path, raw.schema, files_per_batch=3)
     incremental.start_load(stream, out, checkpoint, "FILE_YEAR", TIES).awaitTermination()
     now = incremental.current(spark, out, "FILE_YEAR", TIES)

@@ -17,43 +17,55 @@ YEAR_IN_PATH = r"certificates[-=](\d{4})"
 
 
 def read_csv(spark: SparkSession, path: str | list[str], encoding: str = "ISO-8859-1",
-             missing_values: bool = True) -> DataFrame:
+             missing_values: bool = True, multi_line: bool = False) -> DataFrame:
     """All columns as text, names from the header. The texts that usually mean 'missing' become NULL.
 
-    Spark splits the file itself, so there is no chunk size; columns that are not used are not parsed.
+    Spark splits the file itself, so there is no chunk size; columns that are not used are not parsed. Quoted
+    values with line breaks need ``multi_line``, which reads each file in one task; without it they stop the
+    query instead of passing as broken rows.
     """
-    df = (
-        spark.read.option("header", True).option("encoding", encoding)
-        .option("quote", '"').option("escape", '"').option("enforceSchema", False).csv(path)
-    )
-    if not missing_values:
-        return df
+    df = spark.read.options(**csv_options(encoding, multi_line)).option("enforceSchema", False).csv(path)
+    return null_missing(df) if missing_values else df
+
+
+def csv_options(encoding: str = "ISO-8859-1", multi_line: bool = False) -> dict[str, str | bool]:
+    return {"header": True, "encoding": encoding, "quote": '"', "escape": '"', "multiLine": multi_line, "mode": "FAILFAST"}
+
+
+def null_missing(df: DataFrame) -> DataFrame:
     return df.select(*[F.when(~F.col(f"`{c}`").isin(vocab.CSV_MISSING), F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
+def normalise_year(df: DataFrame) -> DataFrame:
+    """Upper-case names, the wanted columns, and the file year from the path; for files and streams of files."""
+    year = F.regexp_extract(F.col("_metadata.file_path"), YEAR_IN_PATH, 1).try_cast("int")
+    named = [F.col(f"`{c}`").alias(c.upper()) for c in df.columns if c.upper() in vocab.WANTED_COLUMNS]
+    found = df.select(*named, year.alias("FILE_YEAR"))
+    return found.select(*present(found, vocab.WANTED_COLUMNS), "FILE_YEAR")
+
+
 def read_sample(spark: SparkSession, path: str, n: int, keys: list[str], seed: int = 42) -> DataFrame:
     """A CSV file reduced to exactly n rows; whole when it is not larger."""
     return uniform_sample(read_csv(spark, path), n, keys, seed)
 
 
-def read_year(spark: SparkSession, path: str) -> DataFrame | None:
+def read_year(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame | None:
     """One yearly file with upper-case names, reduced to the wanted columns, and its file year.
 
     A missing file and a file without a required column are reported and left out.
     """
     try:
-        df = upper_names(read_csv(spark, path))
+        df = read_csv(spark, path, multi_line=multi_line)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         warnings.warn(f"{path} not found, left out", stacklevel=2)
         return None
-    lacking = missing_required(df)
+    lacking = missing_required(upper_names(df))
     if lacking:
         warn_skipped(path, lacking)
         return None
-    year = F.regexp_extract(F.col("_metadata.file_path"), YEAR_IN_PATH, 1).try_cast("int")
-    return df.select(*present(df, vocab.WANTED_COLUMNS), year.alias("FILE_YEAR"))
+    return normalise_year(df)
 
 
 def read_years(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -79,8 +91,11 @@ def required_columns_report(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def write_prepared(df: DataFrame, path: str, split: str = "split", year: str = "FILE_YEAR") -> None:
-    """Parquet by split and year, so that a date range reads only its own folders."""
-    df.write.partitionBy(split, year).parquet(path)
+    """Parquet by split and year, so that a date range reads only its own folders.
+
+    Rows are gathered by folder before they are written, and Spark splits what is too large for one task.
+    """
+    df.hint("rebalance", split, year).write.partitionBy(split, year).parquet(path)
 
 
 def read_prepared(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:

@@ -14,14 +14,15 @@ from pyspark.sql.types import StructType
 
 from certiscope.operators.cleaning import clean_register
 from certiscope.operators.dedup import latest_per_key
+from certiscope.sources.register import csv_options, normalise_year, null_missing
 
 
 def watch_files(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1,
-                file_format: str = "parquet") -> DataFrame:
-    """New files under ``path`` as a stream."""
+                file_format: str = "parquet", multi_line: bool = False) -> DataFrame:
+    """New files under ``path`` as a stream; CSV files of a year are normalised as :func:`read_year` does."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if file_format == "csv":
-        reader = reader.option("header", True).option("encoding", "ISO-8859-1").option("escape", '"')
+        return normalise_year(null_missing(reader.options(**csv_options(multi_line=multi_line)).csv(path)))
     return reader.format(file_format).load(path)
 
 

@@ -109,7 +109,7 @@ def test_small_groups_are_left_out(spark):
 
 def test_threshold_by_year_needs_enough_rows(spark):
     df = spark.createDataFrame([("Flat", 2000, .4, 1)], "t string, yr int, s double, y int")
-    assert decisions.group_threshold_by_year(df, "t", "Flat", "House", "y", "s", "yr", 2000, 2001) is None
+    assert decisions.group_threshold_by_year(df, "t", "Flat", "House", "y", "s", "yr", 2000, 2001).collect() == []
 
 
 def plain_auc(y, s, w):
