@@ -3,9 +3,9 @@
 Method
     Tokens are summed by cell (source, language, topic). Raking scales the cells so that their sums over each
     of the three dimensions meet that dimension's targets, one dimension after the other, until all hold. A
-    cell's factor, scaled so that the largest is 1, is the probability with which each of its documents is
-    drawn: the expected tokens then have the target proportions, and the sample is the largest that takes no
-    document twice. A document is drawn by a hash of its id, so a sample can be repeated and does not depend
+    cell's factor tells how strongly its documents are wanted. The factors are calibrated to probabilities whose
+    expected tokens are the share ``KEEP`` of all: cells that would need more than all their documents are
+    taken whole, the others keep the proportions that raking gave them. A document is drawn by a hash of its id, so a sample can be repeated and does not depend
     on the order of rows.
 
 Scale
@@ -28,6 +28,7 @@ ROUNDS = 40
 STORE_ROUNDS = 4
 TOLERANCE = 1e-12
 TEMPER = 0.5
+KEEP = 0.5
 _WORD = r"[^\x20\x09-\x0D]+"
 _HASH_RANGE = 16**12
 
@@ -79,7 +80,24 @@ def rake(cells: DataFrame, targets: list[DataFrame], rounds: int = ROUNDS, toler
     return cells.select(*DIMENSIONS, "tokens", "weight")
 
 
-def mix(docs: DataFrame, temper: float = TEMPER, seed: int = 17, doc_id: str = "doc_id", text: str = "text",
+def calibration(factors: DataFrame, keep: float) -> float:
+    """What to multiply the factors with so that the share ``keep`` of all tokens is expected.
+
+    No probability exceeds 1: cells that reach it are taken whole, and the others share what is left of the
+    budget by their factors. Each step of the search is one row from the cells.
+    """
+    budget = (factors.agg(F.sum("tokens")).first()[0] or 0) * keep
+    scale, whole = 0.0, -1
+    while True:
+        full = F.col("factor") * F.lit(scale) >= 1
+        found = factors.agg(F.count(F.when(full, 1)).alias("n"), F.coalesce(F.sum(F.when(full, F.col("tokens"))), F.lit(0)).alias("taken"),
+                            F.coalesce(F.sum(F.when(~full, F.col("tokens") * F.col("factor"))), F.lit(0.0)).alias("open")).first()
+        if found["n"] == whole or not found["open"]:
+            return scale
+        whole, scale = found["n"], (budget - found["taken"]) / found["open"]
+
+
+def mix(docs: DataFrame, temper: float = TEMPER, keep: float = KEEP, seed: int = 17, doc_id: str = "doc_id", text: str = "text",
         source: str = "source", lang: str = "lang", rounds: int = ROUNDS) -> DataFrame:
     """doc_id, source, lang, topic, tokens, probability and sampled for every row of ``docs``.
 
@@ -94,9 +112,9 @@ def mix(docs: DataFrame, temper: float = TEMPER, seed: int = 17, doc_id: str = "
                               F.regexp_count("text", F.lit(_WORD)).cast("long").alias("tokens"), draw.cast("long").alias("draw")), "measured")
     cells = stored(read.where("tokens > 0").groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
     raked = rake(cells, tempered_targets(cells, temper), rounds)
-    factors = raked.select(*[F.col(d).alias(f"of_{d}") for d in DIMENSIONS], (F.col("weight") / F.col("tokens")).alias("factor"))
-    most = factors.agg(F.max("factor")).first()[0] or 1.0
-    chances = factors.select(*[f"of_{d}" for d in DIMENSIONS], (F.col("factor") / F.lit(most)).alias("chance"))
+    factors = stored(raked.select(*[F.col(d).alias(f"of_{d}") for d in DIMENSIONS], "tokens", (F.col("weight") / F.col("tokens")).alias("factor")), "factors")
+    scale = calibration(factors, keep)
+    chances = factors.select(*[f"of_{d}" for d in DIMENSIONS], F.least(F.lit(1.0), F.col("factor") * F.lit(scale)).alias("chance"))
     same = reduce(lambda a, b: a & b, [F.col(d).eqNullSafe(F.col(f"of_{d}")) for d in DIMENSIONS])
     chance = F.when(F.col("tokens") > 0, F.coalesce("chance", F.lit(0.0))).otherwise(0.0)
     return read.join(stored(chances, "chances"), same, "left").select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from certiscope.llm.mixing import ROUNDS, TEMPER
+from certiscope.llm.mixing import KEEP, ROUNDS, TEMPER
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -111,7 +111,12 @@ cells AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::BIGINT AS tokens
 {targets},
 w0 AS MATERIALIZED (SELECT source, lang, topic, tokens, tokens::DOUBLE AS weight FROM cells),
 {",".join(steps)},
-chances AS (SELECT source, lang, topic, (weight / tokens) / max(weight / tokens) OVER () AS chance FROM {last}),
+factors AS MATERIALIZED (SELECT source, lang, topic, tokens, weight / tokens AS factor FROM {last}),
+scales AS (
+  SELECT factor, ({KEEP} * (SELECT sum(tokens) FROM factors) - coalesce(sum(tokens) OVER (ORDER BY factor DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(tokens * factor) OVER (ORDER BY factor DESC, source, lang, topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS scale
+  FROM factors),
+chances AS (SELECT source, lang, topic, least(1.0, factor * (SELECT scale FROM scales WHERE factor * scale < 1 ORDER BY factor DESC LIMIT 1)) AS chance FROM factors),
 joined AS (
   SELECT m.*, round(CASE WHEN m.tokens > 0 THEN coalesce(chance, 0) ELSE 0 END, 9) AS probability
   FROM measured m LEFT JOIN chances c ON m.source IS NOT DISTINCT FROM c.source AND m.lang IS NOT DISTINCT FROM c.lang AND m.topic = c.topic)

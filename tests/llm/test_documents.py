@@ -129,7 +129,7 @@ def test_mixing_odd_rows(docs, empty):
     got = mixing.mix(docs).collect()
     assert len(got) == 14 and all(0 <= r["probability"] <= 1 for r in got)
     assert not any(r["sampled"] for r in got if not r["tokens"])
-    assert max(r["probability"] for r in got) == 1
+    assert abs(sum(r["probability"] * r["tokens"] for r in got) - mixing.KEEP * sum(r["tokens"] for r in got)) < 1
     assert mixing.mix(empty).collect() == []
 
 
