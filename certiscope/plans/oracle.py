@@ -327,7 +327,7 @@ SQL: dict[str, str] = {
     "classify_threshold": f"WITH {CERT} SELECT {K}, CAST(SCORE_A >= 0.5 AS INTEGER) AS flagged FROM cert",
     "cv_text_parse": f"WITH {CERT} SELECT TENURE, CAST(printf('%.4f', avg(TOTAL_FLOOR_AREA)) AS DOUBLE) AS mean, CAST(printf('%.4f', stddev_pop(TOTAL_FLOOR_AREA)) AS DOUBLE) AS sd FROM cert GROUP BY TENURE",
     "enrich_left_join": f"WITH {PREP} SELECT UPRN, TENURE, CURRENT_ENERGY_RATING, HEATING_COST_CURRENT, CO2_EMISSIONS_CURRENT, RETROFIT_POTENTIAL, FILE_YEAR FROM prep WHERE split = 'test'",
-    "attach_scores": f"WITH {PREP} SELECT UPRN, RETROFIT_POTENTIAL, TIE1, TIE2, TIE3, SCORE_A FROM (SELECT UPRN, RETROFIT_POTENTIAL, TIE1, TIE2, TIE3 FROM prep WHERE split = 'test') JOIN (SELECT UPRN, TIE1, TIE2, TIE3, SCORE_A FROM cert) USING (UPRN, TIE1, TIE2, TIE3)",
+    "attach_scores": f"WITH {PREP} SELECT UPRN, RETROFIT_POTENTIAL, TIE1, TIE2, TIE3, SCORE_A FROM (SELECT UPRN, RETROFIT_POTENTIAL, TIE1, TIE2, TIE3 FROM prep WHERE split = 'test') JOIN (SELECT UPRN, TIE1, TIE2, TIE3, min(SCORE_A) AS SCORE_A FROM cert GROUP BY ALL) USING (UPRN, TIE1, TIE2, TIE3)",
     "city_slice": f"WITH {TEST}{_members(['NATION_3'])} SELECT UPRN, RETROFIT_POTENTIAL, m.POSTCODE FROM test JOIN members m USING (UPRN)",
     "semi_split": f"WITH {TEST}{_members(['NATION_3'])} SELECT UPRN, RETROFIT_POTENTIAL FROM test WHERE UPRN IN (SELECT UPRN FROM members)",
     "anti_split": f"WITH {TEST}{_members(['NATION_3'])} SELECT UPRN, RETROFIT_POTENTIAL FROM test WHERE UPRN NOT IN (SELECT UPRN FROM members)",
