@@ -19,9 +19,12 @@ Scale
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -37,39 +40,108 @@ END_ID = 1
 BLOCK_TOKENS = 1 << 20
 MEMO_WORDS = 300_000
 LONG_WORD = 200
+SEPARATOR = "\x01"
 
 _SPLIT = re.compile(r"[^ \t\n\r]+")
-_loaded: dict[str, tuple] = {}
+_loaded: dict[str, Words] = {}
 
 
-def word_tokenizer(path: str) -> Callable[[str], bytes]:
-    """Ids of a text by a tokenizer file whose pieces never reach across white space.
+def _piece_rule(rules: dict) -> re.Pattern | None:
+    """The tokenizer file's own splitting pattern for ASCII words in lower case.
 
-    Words between blanks, tabs and line ends are looked up in a bounded memory of what the tokenizer gave
-    for them before; the tokenizer drops the white space itself, so the ids are those of the whole text.
+    None unless the file lower-cases and keeps the matches of a single pattern.
     """
-    if path not in _loaded:
+    normal, split = rules.get("normalizer") or {}, rules.get("pre_tokenizer") or {}
+    lowers = any(n.get("type") == "Lowercase" for n in normal.get("normalizers", [normal]))
+    steps = [p for p in split.get("pretokenizers", [split]) if p.get("type") == "Split"]
+    if not (lowers and len(steps) == 1 and steps[0]["behavior"] == "Removed" and steps[0]["invert"]):
+        return None
+    pattern = steps[0]["pattern"].get("Regex", "")
+    for unicode_class, ascii_class in (("[\\p{L}]", "[a-z]"), ("[\\p{N}]", "[0-9]"), ("\\p{L}", "a-z"), ("\\p{N}", "0-9")):
+        pattern = pattern.replace(unicode_class, ascii_class)
+    return re.compile(pattern, re.ASCII) if pattern and "\\p" not in pattern else None
+
+
+class Words:
+    """Ids of words by a tokenizer file, with a bounded memory of words and of the pieces that they consist of.
+
+    ASCII words are cut into pieces by the file's own pattern. What is new goes to the tokenizer in one text,
+    whose ids fall apart at a separator between the parts. Words outside ASCII, and all words of a text that
+    holds one of the file's added tokens, go to the tokenizer as they are.
+    """
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
-        _loaded[path] = Tokenizer.from_file(path), {}
-    tokenizer, memo = _loaded[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        rules = json.loads(Path(path).read_text())
+        self.rule = _piece_rule(rules)
+        self.added = [t["content"] for t in rules.get("added_tokens", [])]
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.mark = self.ids(SEPARATOR)
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def parts(self, parts: list[str]) -> list[bytes]:
+        """The ids of each of many words or pieces; one by one if the separator is no single id or occurs in them."""
+        if len(parts) > 1 and len(self.mark) == 1:
+            ids = self.ids(f" {SEPARATOR} ".join(parts))
+            cuts = np.flatnonzero(ids == self.mark[0])
+            if len(cuts) == len(parts) - 1:
+                data, starts, stops = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
+                return [data[i:j] for i, j in zip(starts, stops, strict=True)]
+        return [self.ids(p).tobytes() for p in parts]
+
+    def learn(self, memory: dict[str, bytes], parts: set[str]) -> None:
+        fresh = [p for p in parts if p not in memory]
+        if fresh:
+            memory.update(zip(fresh, self.parts(fresh), strict=True))
+
+    def trim(self, memory: dict[str, bytes], parts: set[str]) -> None:
+        """Forgets all when there is too much, and parts that are too long."""
+        if len(memory) > MEMO_WORDS:
+            memory.clear()
+        else:
+            for part in [p for p in parts if len(p) > LONG_WORD]:
+                memory.pop(part, None)
+
+    def encode(self, text: str) -> bytes:
+        by_rule = self.rule is not None and not any(token in text for token in self.added)
+        if by_rule and text.isascii():
+            return self.joined(self.rule.findall(text.lower()))
+        words = _SPLIT.findall(text)
+        own = set(words)
+        fresh = [w for w in own if w not in self.words]
+        cut = {w: self.rule.findall(w.lower()) for w in fresh if w.isascii()} if by_rule else {}
+        pieces = {p for parts in cut.values() for p in parts}
+        self.learn(self.pieces, pieces)
+        self.words.update((w, b"".join(map(self.pieces.__getitem__, parts))) for w, parts in cut.items())
+        self.learn(self.words, {w for w in fresh if w not in cut})
+        ids = b"".join(map(self.words.__getitem__, words))
+        self.trim(self.pieces, pieces)
+        self.trim(self.words, own)
+        return ids
+
+    def joined(self, pieces: list[str]) -> bytes:
+        own = set(pieces)
+        self.learn(self.pieces, own)
+        ids = b"".join(map(self.pieces.__getitem__, pieces))
+        self.trim(self.pieces, own)
+        return ids
+
 
-    def coded(words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+def word_tokenizer(path: str) -> Callable[[str], bytes]:
+    """Ids of a text by a tokenizer file whose pieces never reach across white space.
 
-    def encode(text: str) -> bytes:
-        words = _SPLIT.findall(text)
-        fresh = [w for w in set(words) if w not in memo]
-        if fresh:
-            if len(memo) + len(fresh) > MEMO_WORDS:
-                memo.clear()
-                fresh = list(set(words))
-            found = dict(zip(fresh, coded(fresh), strict=True))
-            memo.update((w, b) for w, b in found.items() if len(w) <= LONG_WORD)
-            return b"".join([memo[w] if w in memo else found[w] for w in words])
-        return b"".join(map(memo.__getitem__, words))
-
-    return encode
+    The tokenizer drops the white space itself, so the ids of the words between blanks, tabs and line ends are
+    those of the whole text.
+    """
+    if path not in _loaded:
+        _loaded[path] = Words(path)
+    return _loaded[path].encode
 
 
 def _tokenized(path: str):
