@@ -38,36 +38,65 @@ from certiscope.session import stored
 WINDOW = 2048
 END_ID = 1
 BLOCK_TOKENS = 1 << 20
-MEMO_WORDS = 300_000
-LONG_WORD = 200
-SEPARATOR = "\x01"
+MEMO_PIECES = 300_000
+LONG_PIECE = 200
 
+#: Lower-case letters of Latin-1; together with ASCII and their capitals, NFC leaves them as they are.
+_LATIN = "ß-öø-ÿ"
+_PLAIN = bytes([*range(128), *(c for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7))])
 _SPLIT = re.compile(r"[^ \t\n\r]+")
 _loaded: dict[str, Words] = {}
 
 
 def _piece_rule(rules: dict) -> re.Pattern | None:
-    """The tokenizer file's own splitting pattern for ASCII words in lower case.
+    """The tokenizer file's own splitting pattern for ASCII and Latin-1 letters in lower case.
 
-    None unless the file lower-cases and keeps the matches of a single pattern.
+    None unless the file is a byte-level model that lower-cases and keeps the matches of a single pattern.
     """
     normal, split = rules.get("normalizer") or {}, rules.get("pre_tokenizer") or {}
     lowers = any(n.get("type") == "Lowercase" for n in normal.get("normalizers", [normal]))
-    steps = [p for p in split.get("pretokenizers", [split]) if p.get("type") == "Split"]
-    if not (lowers and len(steps) == 1 and steps[0]["behavior"] == "Removed" and steps[0]["invert"]):
+    steps = split.get("pretokenizers", [split])
+    if not lowers or [p.get("type") for p in steps] != ["Split", "ByteLevel"] or steps[1].get("add_prefix_space") or steps[1].get("use_regex"):
+        return None
+    if steps[0]["behavior"] != "Removed" or not steps[0]["invert"]:
         return None
     pattern = steps[0]["pattern"].get("Regex", "")
-    for unicode_class, ascii_class in (("[\\p{L}]", "[a-z]"), ("[\\p{N}]", "[0-9]"), ("\\p{L}", "a-z"), ("\\p{N}", "0-9")):
-        pattern = pattern.replace(unicode_class, ascii_class)
+    letters = f"a-z{_LATIN}"
+    for unicode_class, own_class in (("[\\p{L}]", f"[{letters}]"), ("[\\p{N}]", "[0-9]"), ("\\p{L}", letters), ("\\p{N}", "0-9")):
+        pattern = pattern.replace(unicode_class, own_class)
     return re.compile(pattern, re.ASCII) if pattern and "\\p" not in pattern else None
 
 
+def is_plain(text: str) -> bool:
+    """Whether a text has no characters but ASCII and Latin-1 letters."""
+    try:
+        return text.isascii() or not text.encode("latin-1").translate(None, _PLAIN)
+    except UnicodeEncodeError:
+        return False
+
+
+class Memory(dict):
+    """A bounded memory of a function; long arguments are not kept."""
+
+    def __init__(self, function: Callable[[str], bytes]):
+        super().__init__()
+        self.function = function
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.function(key)
+        if len(key) <= LONG_PIECE:
+            if len(self) >= MEMO_PIECES:
+                self.clear()
+            self[key] = value
+        return value
+
+
 class Words:
-    """Ids of words by a tokenizer file, with a bounded memory of words and of the pieces that they consist of.
+    """Ids of texts by a tokenizer file, with a bounded memory of the pieces that they consist of.
 
-    ASCII words are cut into pieces by the file's own pattern. What is new goes to the tokenizer in one text,
-    whose ids fall apart at a separator between the parts. Words outside ASCII, and all words of a text that
-    holds one of the file's added tokens, go to the tokenizer as they are.
+    Texts of ASCII and Latin-1 letters are cut into pieces by the file's own pattern, and the file's model
+    gives each new piece its ids. Other texts are taken word by word: words with other characters go to the
+    tokenizer as they are. A text that holds one of the file's added tokens goes there as a whole.
     """
 
     def __init__(self, path: str):
@@ -78,59 +107,32 @@ class Words:
         rules = json.loads(Path(path).read_text())
         self.rule = _piece_rule(rules)
         self.added = [t["content"] for t in rules.get("added_tokens", [])]
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.mark = self.ids(SEPARATOR)
-
-    def ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
-
-    def parts(self, parts: list[str]) -> list[bytes]:
-        """The ids of each of many words or pieces; one by one if the separator is no single id or occurs in them."""
-        if len(parts) > 1 and len(self.mark) == 1:
-            ids = self.ids(f" {SEPARATOR} ".join(parts))
-            cuts = np.flatnonzero(ids == self.mark[0])
-            if len(cuts) == len(parts) - 1:
-                data, starts, stops = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
-                return [data[i:j] for i, j in zip(starts, stops, strict=True)]
-        return [self.ids(p).tobytes() for p in parts]
-
-    def learn(self, memory: dict[str, bytes], parts: set[str]) -> None:
-        fresh = [p for p in parts if p not in memory]
-        if fresh:
-            memory.update(zip(fresh, self.parts(fresh), strict=True))
-
-    def trim(self, memory: dict[str, bytes], parts: set[str]) -> None:
-        """Forgets all when there is too much, and parts that are too long."""
-        if len(memory) > MEMO_WORDS:
-            memory.clear()
-        else:
-            for part in [p for p in parts if len(p) > LONG_WORD]:
-                memory.pop(part, None)
+        self.model = self.tokenizer.model
+        if self.rule is not None:  # a character as the model sees it: its bytes, each written as one character
+            written = self.tokenizer.pre_tokenizer.pre_tokenize_str
+            plain = [c for c in _PLAIN.decode("latin-1") if self.rule.fullmatch(c)]
+            self.letters = {ord(c): "".join(w for w, _ in written(c)) for c in plain}
+        self.pieces = Memory(self.piece_ids)
+        self.words = Memory(self.word_ids)
+
+    def ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
+
+    def piece_ids(self, piece: str) -> bytes:
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(piece.translate(self.letters))])
+
+    def word_ids(self, word: str) -> bytes:
+        return self.joined(word) if self.rule is not None and is_plain(word) else self.ids(word)
+
+    def joined(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.rule.findall(text.lower())))
 
     def encode(self, text: str) -> bytes:
-        by_rule = self.rule is not None and not any(token in text for token in self.added)
-        if by_rule and text.isascii():
-            return self.joined(self.rule.findall(text.lower()))
-        words = _SPLIT.findall(text)
-        own = set(words)
-        fresh = [w for w in own if w not in self.words]
-        cut = {w: self.rule.findall(w.lower()) for w in fresh if w.isascii()} if by_rule else {}
-        pieces = {p for parts in cut.values() for p in parts}
-        self.learn(self.pieces, pieces)
-        self.words.update((w, b"".join(map(self.pieces.__getitem__, parts))) for w, parts in cut.items())
-        self.learn(self.words, {w for w in fresh if w not in cut})
-        ids = b"".join(map(self.words.__getitem__, words))
-        self.trim(self.pieces, pieces)
-        self.trim(self.words, own)
-        return ids
-
-    def joined(self, pieces: list[str]) -> bytes:
-        own = set(pieces)
-        self.learn(self.pieces, own)
-        ids = b"".join(map(self.pieces.__getitem__, pieces))
-        self.trim(self.pieces, own)
-        return ids
+        if any(token in text for token in self.added):
+            return self.ids(text)
+        if self.rule is not None and is_plain(text):
+            return self.joined(text)
+        return b"".join(map(self.words.__getitem__, _SPLIT.findall(text)))
 
 
 def word_tokenizer(path: str) -> Callable[[str], bytes]:

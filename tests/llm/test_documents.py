@@ -89,12 +89,12 @@ def test_windows_keep_proportions():
 def test_words_have_the_ids_of_the_whole_text(monkeypatch, memory):
     from tokenizers import Tokenizer
 
-    monkeypatch.setattr(packing, "MEMO_WORDS", memory)
+    monkeypatch.setattr(packing, "MEMO_PIECES", memory)
     path = public_tokenizers.path("word_bpe_49k.json")
     plain, words, r = Tokenizer.from_file(path), packing.Words(path), random.Random(3)
     assert words.rule is not None
     parts = [chr(i) for i in range(128)] + list("'sstrevmldABZ   ") + [
-        "é", "\u0301", "İ", "ß", "\u00a0", "\u3000", "漢", "<|startoftext|>", "<|endoftext|>", "</w>", "don't", "9٣", "x" * 300]
+        *"éÉßÀÿøØª²×÷½", "—", "\u0085", "\u0301", "İ", "ß", "\u00a0", "\u3000", "漢", "<|startoftext|>", "<|endoftext|>", "</w>", "don't", "9٣", "x" * 300]
     for text in ["", " ", *("".join(r.choices(parts, k=r.randint(1, 40))) for _ in range(1500))]:
         assert words.encode(text) == np.array(plain.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
