@@ -2,11 +2,12 @@
 
 Method
     Of every document a vector of five transformed statistics is taken: log number of words, log mean word
-    length, and the logs of one plus the percentages of symbols, of repeated lines and of repeated words. For
+    length, the log of one plus the percentage of symbols, and the shares of repeated lines and of repeated words. For
     each group (language and source) the estimate is the mean and covariance of the ``SHARE`` of its documents
     that lie closest together: from a start by medians and absolute deviations, concentration steps choose the
-    closest documents under the present estimate and estimate anew. A document is rejected when its squared
-    Mahalanobis distance from its group exceeds ``CUTOFF``.
+    closest documents under the present estimate and estimate anew. Covariances of the closest are scaled up to
+    those of all by the factor that is right for normal data. A document is rejected when its squared Mahalanobis
+    distance from its group exceeds ``CUTOFF``, the ``QUANTILE`` of chi-square with five degrees of freedom.
 
 Scale
     Texts are read once; the rest works on a stored table of eight numbers a document. Steps are aggregates
@@ -17,6 +18,7 @@ Scale
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,14 +31,39 @@ from certiscope.session import stored
 
 SHARE = 0.75
 STEPS = 5
-CUTOFF = 45.0
+QUANTILE = 0.9999
 MIN_GROUP = 50
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: the least spread of each statistic among sound texts: one repeated line in a short text is nothing odd
-FLOORS = (1.0, 0.15, 0.3, 1.0, 1.0)
+#: the least spread of each statistic: one repeated line in a short text is nothing odd. A floor times the root of
+#: CUTOFF (5.07) lies within the reach of its statistic, so that each of them can reject alone
+FLOORS = (0.5, 0.1, 0.3, 0.1, 0.1)
 
 _D = len(FLOORS)
+
+
+def chi2_cdf(x: float, k: int) -> float:
+    """The chi-square distribution function for an odd number of degrees of freedom."""
+    out, term = math.erf(math.sqrt(x / 2)), math.sqrt(2 * x / math.pi) * math.exp(-x / 2)
+    for j in range(1, k - 1, 2):
+        out, term = out - term, term * x / (j + 2)
+    return out
+
+
+def chi2_quantile(share: float, k: int) -> float:
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi2_cdf(middle, k) < share else (low, middle)
+    return low
+
+
+def consistency(share: float) -> float:
+    """What the covariance of the closest ``share`` of normal rows is multiplied with to be that of all."""
+    return 1.0 if share >= 1 else share / chi2_cdf(chi2_quantile(share, _D), _D + 2)
+
+
+CUTOFF = chi2_quantile(QUANTILE, _D)
 _PAIRS = [(i, j) for i in range(_D) for j in range(i, _D)]
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -92,12 +119,12 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def statistics() -> list[Column]:
     """The transformed statistics x0 to x4 from the counts."""
-    def percent(a: str, b: str) -> Column:
-        return F.log1p(F.coalesce(F.try_divide(F.lit(100.0) * F.col(a), F.col(b)), F.lit(0.0)))
+    def share(a: str, b: str) -> Column:
+        return F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b)), F.lit(0.0))
 
     return [c.alias(f"x{k}") for k, c in enumerate([
         F.log1p(F.col("n_words").cast("double")), F.log(F.greatest(F.coalesce(F.try_divide(F.col("word_chars").cast("double"), F.col("n_words")), F.lit(1.0)), F.lit(1.0))),
-        percent("n_symbols", "word_chars"), percent("n_dup_lines", "n_lines"), percent("n_repeat_words", "n_words")])]
+        F.log1p(100 * share("n_symbols", "word_chars")), share("n_dup_lines", "n_lines"), share("n_repeat_words", "n_words")])]
 
 
 def _distance() -> Column:
@@ -105,8 +132,8 @@ def _distance() -> Column:
     return sum(((1 if i == j else 2) * F.col("inverse")[i * _D + j] * centred[i] * centred[j] for i, j in _PAIRS), F.lit(0.0))
 
 
-def _inverted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Means and inverse covariances from sums; variances below the floor are lifted to it."""
+def _inverted(batches: Iterator[pa.RecordBatch], factor: float) -> Iterator[pa.RecordBatch]:
+    """Means and inverse covariances, multiplied with ``factor``, from sums; variances below the floor are lifted to it."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -115,6 +142,7 @@ def _inverted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cov = np.zeros((len(n), _D, _D))
         for i, j in _PAIRS:
             cov[:, i, j] = cov[:, j, i] = batch.column(f"p{i}{j}").to_numpy(zero_copy_only=False) / n - mean[:, i] * mean[:, j]
+        cov *= factor
         lift = np.maximum(np.square(FLOORS) - cov[:, range(_D), range(_D)], 0) + 1e-9
         cov[:, range(_D), range(_D)] += lift
         inverse = np.linalg.inv(cov).reshape(len(n), -1)
@@ -122,10 +150,11 @@ def _inverted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                "inverse": pa.array(inverse.tolist(), pa.list_(pa.float64()))})
 
 
-def _estimate(rows: DataFrame) -> DataFrame:
+def _estimate(rows: DataFrame, share: float) -> DataFrame:
+    factor = consistency(share)
     sums = [F.sum(f"x{i}").alias(f"s{i}") for i in range(_D)] + [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}{j}") for i, j in _PAIRS]
     return rows.groupBy("group").agg(F.count(F.lit(1)).alias("n"), *sums).mapInArrow(
-        _inverted, "group string, center array<double>, inverse array<double>")
+        lambda batches: _inverted(batches, factor), "group string, center array<double>, inverse array<double>")
 
 
 def _closest(rows: DataFrame, share: float) -> DataFrame:
@@ -144,7 +173,7 @@ def estimates(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> Data
     start = sum(((F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"d{i}")) ** 2 for i in range(_D))
     placed = rows.join(mads.withColumnRenamed("group", "of"), F.col("group") == F.col("of")).select("group", *[f"x{i}" for i in range(_D)], start.alias("d2"))
     for _ in range(steps):
-        found = stored(_estimate(_closest(placed, share)), "estimates")
+        found = stored(_estimate(_closest(placed, share), share), "estimates")
         placed = _placed(rows, found)
     return found
 

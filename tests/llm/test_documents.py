@@ -234,6 +234,32 @@ def test_outliers(spark, docs, empty):
     assert quality.judge(empty).collect() == []
 
 
+def test_each_statistic_rejects_alone(spark):
+    """Sound texts, and one that is odd in a single respect; none fails the base rule."""
+    rng = random.Random(8)
+
+    def text(lines, words=12, length=6, cut=None):
+        made = [" ".join("".join(rng.choices("abcdefghij", k=length + rng.randrange(-1, 2))) for _ in range(words)) for _ in range(lines)]
+        return "\n".join(made if cut is None else made[:cut] + ["same"] * (lines - cut))
+
+    odd = [text(2000), text(12, length=40), " ".join(w + "#$" for w in text(12).split()), text(100, cut=10) + " " + text(1, words=300)]
+    rows = [(k, x, "en", "a") for k, x in enumerate(odd + [text(rng.randrange(8, 20)) for _ in range(300)])]
+    got = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(got[k]["base_failed"] for k in range(4))
+    assert [got[k]["kept"] for k in range(4)] == [False] * 4
+    assert got[3]["n_dup_lines"] >= 80 and got[3]["n_repeat_words"] < 0.3 * got[3]["n_words"]
+    assert sum(not got[k]["kept"] for k in range(4, len(rows))) == 0
+    for k, floor in enumerate(quality.FLOORS[3:]):
+        assert floor * quality.CUTOFF ** 0.5 < (1, quality.MAX_REPEAT_PERCENT / 100 + 0.01)[k]
+
+
+def test_chi_square():
+    assert abs(quality.chi2_quantile(0.95, 5) - 11.0705) < 1e-4 and abs(quality.chi2_quantile(0.95, 7) - 14.0671) < 1e-4
+    rows = np.random.default_rng(1).normal(size=(200_000, 5))
+    near = rows[np.argsort((rows ** 2).sum(axis=1))[:150_000]]
+    assert np.allclose(np.cov(near.T) * quality.consistency(0.75), np.eye(5), atol=0.02)
+
+
 # token counts
 
 def test_counts_equal_the_tokenizer(docs, empty):
