@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone", "iban")
 BASE_KINDS = KINDS[:4]
 NEAR_CHARS = 40
-MIN_SCORE = 0.5
+MIN_SCORE = 0.55  # an IBAN with a contrary word close by needs a telling one too
 
 _JOINT = "\u0001"  # stands for a single blank or hyphen between two digits
 # fixed values: the patterns of the kinds
@@ -115,7 +115,7 @@ def find_spans(docs: DataFrame, text: str = "text", out: str = "spans", min_scor
     - card ``[0-9]([\\x20-]?[0-9])+``, 14 to 19 digits, Luhn
     - phone ``\\+[0-9][\\x20().0-9-]+[0-9]``, 10 to 15 digits
 
-    Of the other kind, iban, spans stay whose mod-97 and score hold.
+    Of the other kind, iban, spans stay whose mod-97 and score hold. Context decides on this kind alone.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     jointed = F.regexp_replace(F.translate(whole, _JOINT, "x"), r"(?<=[0-9])[\x20-](?=[0-9])", _JOINT)

@@ -206,6 +206,15 @@ def test_iban_context_and_redaction(spark):
     assert [r["clean"] for r in got[1:]] == ["plain", None, ""]
 
 
+@pytest.mark.parametrize("text, kinds", [
+    ("Serial DE89370400440532013000 of the pump", []), ("Part no GB82 WEST 1234 5698 7654 32", []),
+    ("It is DE89370400440532013000 here", ["iban"]), ("Bank account, serial DE89370400440532013000", ["iban"]),
+    ("Order 4111 1111 1111 1111", ["card"])])
+def test_context_decides_on_ibans(spark, text, kinds):
+    got, = pii.find_spans(spark.createDataFrame([(text,)], "text string")).collect()
+    assert [s["kind"] for s in got["spans"]] == kinds
+
+
 # quality
 
 def test_counts_against_plain_code(docs):
