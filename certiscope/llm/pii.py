@@ -33,6 +33,12 @@ _PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)",
 }
+#: where an IBAN may start: its own run of letters and digits is taken in, groups after a blank are not
+_IBAN_START = r"[A-Z]{2}[0-9]{2}(?=[A-Z0-9]{11}|(?: [A-Z0-9]{4}){2})[A-Z0-9]{0,30}+"
+_IBAN_CHARS = 44  # no match is longer
+_IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+                 22: "BG BH CR DE GB GE IE ME RS", 23: "AE GI IL", 24: "AD CZ ES MD PK RO SA SE SK TN", 25: "PT",
+                 26: "IS TR", 27: "FR GR IT MC SM", 28: "AL AZ CY DO GT HU LB PL", 29: "BR", 30: "MU", 31: "MT"}
 _SCORES = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9}
 _RAISE = {"email": "mail|contact|write to", "ip": r"\bip\b|address|host|server", "card": "card|visa|credit|payment",
           "phone": "phone|tel|call|mobile|fax", "iban": "iban|account|bank|transfer"}
@@ -76,13 +82,41 @@ def _valid(kind: str, value: Column) -> Column:
         return F.when(F.length(digits).between(14, 19), luhn(digits)).otherwise(False)
     if kind == "phone":
         return F.length(digits).between(10, 15)
-    return mod97(value) if kind == "iban" else F.lit(True)
+    return F.lit(True)
+
+
+def _iban_in(window: Column) -> Column:
+    """The IBAN that ``window`` starts with, or null: the longest match or the longest part of it up to a blank
+    that passes mod-97; one of the country's length goes before longer ones."""
+    parts = F.split(F.regexp_extract(window, "^" + _PATTERNS["iban"], 0), " ")
+    endings = F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda k: F.array_join(F.slice(parts, 1, F.size(parts) - k), " "))
+    passing = F.filter(endings, mod97)
+    of_country = "^(?:" + "|".join(f"(?:{names.replace(' ', '|')})[A-Z0-9]{{{n - 2}}}" for n, names in _IBAN_LENGTHS.items()) + ")$"
+    usual = F.filter(passing, lambda v: F.regexp_replace(v, " ", "").rlike(of_country))
+    return F.coalesce(F.get(usual, F.lit(0)), F.get(passing, F.lit(0)))
+
+
+def _ibans(text: Column, placed: Column) -> Column:
+    """Of the starts ``placed`` those of an IBAN that no earlier one covers, with its end, value and neighbourhood."""
+    tried = F.filter(F.transform(placed, lambda m: F.struct(
+        m["start"].alias("start"), _iban_in(F.substr(text, m["start"] + 1, F.lit(_IBAN_CHARS))).alias("value"))), lambda m: m["value"].isNotNull())
+    blank = F.array().cast("array<struct<start:int,end:int,before:string,after:string,value:string>>")
+
+    def step(state: Column, m: Column) -> Column:
+        end, first = m["start"] + F.length(m["value"]), F.greatest(m["start"] - NEAR_CHARS, F.lit(0))
+        own = F.struct(m["start"].alias("start"), end.alias("end"), F.substr(text, first + 1, m["start"] - first).alias("before"),
+                       F.substr(text, end + 1, F.lit(NEAR_CHARS)).alias("after"), m["value"].alias("value"))
+        fresh = m["start"] >= state["at"]
+        return F.struct(F.when(fresh, end).otherwise(state["at"]).alias("at"),
+                        F.when(fresh, F.concat(state["spans"], F.array(own))).otherwise(state["spans"]).alias("spans"))
+
+    return F.aggregate(tried, F.struct(F.lit(0).alias("at"), blank.alias("spans")), step)["spans"]
 
 
 def _spans(text: Column, seen: Column, kind: str) -> Column:
     """All confirmed spans of a kind. ``seen`` is the text, or a form of it with the same positions."""
-    pattern = F.lit(_PATTERNS[kind])
-    found, between = F.regexp_extract_all(seen, pattern, 0), F.split(seen, _PATTERNS[kind], -1)
+    pattern = _IBAN_START if kind == "iban" else _PATTERNS[kind]
+    found, between = F.regexp_extract_all(seen, F.lit(pattern), 0), F.split(seen, pattern, -1)
     at = F.arrays_zip(found.alias("value"), F.slice(between, 1, F.size(found)).alias("before"), F.slice(between, 2, F.size(found)).alias("after"))
     blank = F.array().cast("array<struct<start:int,end:int,before:string,after:string,value:string>>")
 
@@ -94,6 +128,8 @@ def _spans(text: Column, seen: Column, kind: str) -> Column:
         return F.struct(end.alias("at"), F.concat(state["spans"], F.array(own)).alias("spans"))
 
     placed = F.aggregate(at, F.struct(F.lit(0).alias("at"), blank.alias("spans")), step)["spans"]
+    if kind == "iban":
+        placed = _ibans(text, placed)
 
     def scored(m: Column) -> Column:
         near = F.lower(F.concat_ws(" ", m["before"], m["after"]))

@@ -215,6 +215,17 @@ def test_context_decides_on_ibans(spark, text, kinds):
     assert [s["kind"] for s in got["spans"]] == kinds
 
 
+@pytest.mark.parametrize("text, found", [
+    ("Pay BE68 5390 0754 7034 BIC KREDBEBB", ["BE68 5390 0754 7034"]), ("BE68 5390 0754 7034 2024 sent", ["BE68 5390 0754 7034"]),
+    ("BE68 5390 0754 7034 ACCOUNT", ["BE68 5390 0754 7034"]), ("BE68 5390 0754 7034 EUR", ["BE68 5390 0754 7034"]),
+    ("BE68 5390 0754 7034 DE89 3704 0044 0532 0130 00 BIC", ["BE68 5390 0754 7034", "DE89 3704 0044 0532 0130 00"]),
+    ("AB12 3456 7890 DE89370400440532013000", ["DE89370400440532013000"]), ("é NO93 8601 1117 947 TEL", ["NO93 8601 1117 947"]),
+    ("BE68 5390 0754 7035 BIC", []), ("XX68 5390 0754", [])])
+def test_ibans_before_words(spark, text, found):
+    got, = pii.find_spans(spark.createDataFrame([(text,)], "text string")).collect()
+    assert [text[s["start"]:s["end"]] for s in got["spans"] if s["kind"] == "iban"] == found
+
+
 # quality
 
 def test_counts_against_plain_code(docs):
