@@ -130,3 +130,22 @@ SQL = {
     "op7_chat_perspectives": CHAT,
     "op8_personal_data": PERSONAL_DATA,
 }
+
+LINE_DEDUP = """
+WITH docs AS (SELECT row_number() OVER () AS row_no, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (SELECT row_no, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS k FROM docs),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+frequent AS (
+  SELECT key, max(doc_id) AS owner FROM (SELECT DISTINCT key, doc_id FROM keyed WHERE length(key) >= 40)
+  GROUP BY key HAVING count(doc_id) >= 5),
+judged AS (
+  SELECT keyed.*, frequent.key IS NOT NULL AND owner IS DISTINCT FROM doc_id AS dropped
+  FROM keyed LEFT JOIN frequent USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (dropped)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY row_no, doc_id
+"""
+
+SQL["op12_line_dedup"] = LINE_DEDUP

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from certiscope.llm import chat, fingerprint, language, minhash, mixing, packing, pii, quality, token_count, url_filter
+from certiscope.llm import (chat, fingerprint, language, line_dedup, minhash, mixing, packing, pii, quality, token_count,
+                            url_filter)
 
 PACK_TOKENIZER = "word_bpe_49k.json"
 COUNT_MODEL = "piece_bpe_32k.model"
@@ -64,6 +65,11 @@ def unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_MODEL))
 
 
+def line_dedup_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": near_dedup,
     "op2_url_filter_cascade": url_verdicts,
@@ -75,4 +81,5 @@ QUERIES = {
     "op8_personal_data": personal_data,
     "op9_quality_outliers": quality_outliers,
     "op10_unigram_token_count": unigram_counts,
+    "op12_line_dedup": line_dedup_digest,
 }
