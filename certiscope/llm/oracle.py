@@ -149,3 +149,25 @@ FROM judged GROUP BY row_no, doc_id
 """
 
 SQL["op12_line_dedup"] = LINE_DEDUP
+
+_TERMS = ("regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')")
+
+LEXICAL_SEARCH = f"""
+WITH docs AS (SELECT row_number() OVER () AS row_no, doc_id, {_TERMS.format("text")} AS terms FROM documents),
+counted AS (SELECT *, len(terms)::BIGINT AS n FROM docs WHERE len(terms) > 0),
+totals AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM counted),
+tf AS (SELECT row_no, term, count(*)::BIGINT AS tf FROM (SELECT row_no, unnest(terms) AS term FROM counted) GROUP BY row_no, term),
+df AS (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term),
+items AS (SELECT DISTINCT item_id, unnest({_TERMS.format("text")}) AS term FROM benchmark),
+weights AS (SELECT item_id, term, floor(1000 * ln((2 * big_n + 2) / (2 * df + 1)))::BIGINT AS w FROM items JOIN df USING (term), totals),
+scored AS (
+  SELECT item_id, row_no, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * big_n) // big_l))))::BIGINT AS score
+  FROM weights JOIN tf USING (term) JOIN counted USING (row_no), totals GROUP BY item_id, row_no),
+ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS place
+  FROM scored JOIN counted USING (row_no) WHERE score > 0)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked WHERE place <= 50
+"""
+
+SQL["op13_lexical_search"] = LEXICAL_SEARCH

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from certiscope.llm import (chat, fingerprint, language, line_dedup, minhash, mixing, packing, pii, quality, token_count,
+from certiscope.llm import (chat, fingerprint, language, lexical_search, line_dedup, minhash, mixing, packing, pii, quality, token_count,
                             url_filter)
 
 PACK_TOKENIZER = "word_bpe_49k.json"
@@ -70,6 +70,10 @@ def line_dedup_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def lexical_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": near_dedup,
     "op2_url_filter_cascade": url_verdicts,
@@ -82,4 +86,5 @@ QUERIES = {
     "op9_quality_outliers": quality_outliers,
     "op10_unigram_token_count": unigram_counts,
     "op12_line_dedup": line_dedup_digest,
+    "op13_lexical_search": lexical_ranking,
 }
