@@ -171,3 +171,34 @@ SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked WHERE place <=
 """
 
 SQL["op13_lexical_search"] = LEXICAL_SEARCH
+
+COLLOCATIONS = """
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM docs),
+words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM pieces),
+grams AS (
+  SELECT lang, unnest(list_concat(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])),
+                                  list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS phrase
+  FROM words),
+counts AS (SELECT lang, phrase, count(*)::BIGINT AS f FROM grams GROUP BY lang, phrase),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+cand AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE len(string_split(phrase, ' ')) >= 2 AND f >= 10),
+cuts AS (SELECT lang, phrase, a, w, unnest(range(1, len(w))) AS k FROM cand),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, ((c.a::HUGEINT * c.a * 1000000) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cuts c JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS pick FROM scored) WHERE pick = 1),
+covering AS (
+  SELECT lang, sub AS phrase, max(a) AS longer
+  FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS sub FROM cand WHERE len(w) = 3) GROUP BY lang, sub),
+kept AS (
+  SELECT best.lang, best.phrase, a, l, r, n, score FROM best LEFT JOIN covering USING (lang, phrase) JOIN totals USING (lang)
+  WHERE longer IS NULL OR 100 * longer < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase ASC)::BIGINT AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+SQL["op11_collocations"] = COLLOCATIONS

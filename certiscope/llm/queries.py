@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from certiscope.llm import (chat, fingerprint, language, lexical_search, line_dedup, minhash, mixing, packing, pii, quality, token_count,
+from certiscope.llm import (chat, collocations, fingerprint, language, lexical_search, line_dedup, minhash, mixing, packing, pii, quality, token_count,
                             url_filter)
 
 PACK_TOKENIZER = "word_bpe_49k.json"
@@ -65,6 +65,10 @@ def unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_MODEL))
 
 
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"), threshold=10, top=2000)
+
+
 def line_dedup_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -85,6 +89,7 @@ QUERIES = {
     "op8_personal_data": personal_data,
     "op9_quality_outliers": quality_outliers,
     "op10_unigram_token_count": unigram_counts,
+    "op11_collocations": phrase_collocations,
     "op12_line_dedup": line_dedup_digest,
     "op13_lexical_search": lexical_ranking,
 }
