@@ -254,7 +254,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
                 text: str = "text", probe_bytes: int = PROBE_BYTES) -> DataFrame:
     """Every document with the lines of frequent keys removed except in the key's owner (see the module)."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    index, shards = build_index(frequent_keys(docs, min_chars, min_docs))
+    index, shards = build_index(stored(frequent_keys(docs, min_chars, min_docs), "frequent_lines"))
     blocks = _blocks(index, probe_bytes)  # one row a shard: as many rows as SHARD_KEYS-sized parts of the keys
     context = docs.sparkSession.sparkContext
     current = docs
