@@ -299,6 +299,7 @@ def _simple_matrix() -> str:
 SQL: dict[str, str] = {
     "build_feature_matrix": _simple_matrix(),
     "csv_scan": f"WITH {CERT} SELECT UPRN, LODGEMENT_DATE, CAST(TIE1 AS VARCHAR) AS TIE1, CAST(TIE2 AS VARCHAR) AS TIE2, CAST(TIE3 AS VARCHAR) AS TIE3, CURRENT_ENERGY_RATING, nullif(WALLS_ENERGY_EFF, 'N/A') AS WALLS_ENERGY_EFF, WALLS_DESCRIPTION, CAST(TOTAL_FLOOR_AREA AS VARCHAR) AS TOTAL_FLOOR_AREA FROM cert",
+    "csv_split_scan": f"WITH {CERT} SELECT UPRN, LODGEMENT_DATE, CAST(TIE1 AS VARCHAR) AS TIE1, CAST(TIE2 AS VARCHAR) AS TIE2, CAST(TIE3 AS VARCHAR) AS TIE3, CURRENT_ENERGY_RATING, nullif(WALLS_ENERGY_EFF, 'N/A') AS WALLS_ENERGY_EFF, replace(WALLS_DESCRIPTION, ', ', ',' || chr(10)) AS WALLS_DESCRIPTION, CAST(TOTAL_FLOOR_AREA AS VARCHAR) AS TOTAL_FLOOR_AREA FROM cert",
     "yearly_scan": f"WITH {CERT} SELECT FILE_YEAR, count(*) AS n, min(LODGEMENT_DATE) AS first_date, max(LODGEMENT_DATE) AS last_date, count(TOTAL_FLOOR_AREA) AS with_area FROM cert GROUP BY 1",
     "pruned_scan": f"WITH {CERT} SELECT UPRN AS uprn, POSTCODE AS postcode, LOCAL_AUTHORITY AS local_authority FROM cert",
     "pushdown_range_scan": "SELECT l_orderkey, l_linenumber, l_quantity, CAST(l_shipdate AS DATE) AS lodged FROM lineitem WHERE l_shipdate >= DATE '1997-01-01' AND l_shipdate < DATE '1998-01-01'",

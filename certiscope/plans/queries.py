@@ -14,7 +14,7 @@ from certiscope.operators import (
 )
 from certiscope.plans.prepare import prepared_fixture as prepared
 from certiscope.session import stored, work_dir
-from certiscope.sources import geojson, register
+from certiscope.sources import geojson, register, split_csv
 from certiscope.sources.fixture import KEYS, TIES, certificates, table
 from certiscope.streaming import incremental
 
@@ -94,6 +94,17 @@ def csv_scan(spark, sf_dir):
     return register.read_csv(spark, path)
 
 
+@query
+def csv_split_scan(spark, sf_dir):
+    """Descriptions with line breaks inside quotes, read by as many tasks as the file has byte ranges."""
+    columns = [*KEYS, "CURRENT_ENERGY_RATING", "WALLS_ENERGY_EFF", "WALLS_DESCRIPTION", "TOTAL_FLOOR_AREA"]
+    path = work_dir(spark, "csv_split_scan")
+    broken = certificates(spark, sf_dir, columns).withColumn(
+        "WALLS_DESCRIPTION", F.regexp_replace("WALLS_DESCRIPTION", ", ", ",\n"))
+    register.write_result(broken, path)
+    return split_csv.read_split_csv(spark, path)
+
+
 @query
 def yearly_scan(spark, sf_dir):
     columns = [*vocab.REQUIRED_COLUMNS, "FILE_YEAR", "TENURE", "TOTAL_FLOOR_AREA"]
