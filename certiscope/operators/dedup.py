@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from certiscope.functions.columns import iso_date
+from certiscope.session import stored
+
+BROADCAST_PLACES = 2_000_000
 
 
 def best_per_key(df: DataFrame, key: str | list[str], order: list[str | Column]) -> DataFrame:
@@ -39,6 +42,29 @@ def latest_per_key(df: DataFrame, key: str = "UPRN", date: str = "LODGEMENT_DATE
     return best_per_key(df, key, [*first, iso_date(F.col(date).cast("string")), *ties])
 
 
+def latest_per_key_late(df: DataFrame, key: str = "UPRN", date: str = "LODGEMENT_DATE",
+                        file_year: str | None = None, ties: list[str] = ()) -> DataFrame:
+    """:func:`latest_per_key` for a table read from parquet files, by late materialisation.
+
+    Winners are chosen on narrow rows: the key, the order columns and each row's place (file and row index).
+    Only those go through the shuffle, one candidate per key and task. The wide rows are then fetched by
+    place with a semi join: the winners (stored, then counted) are broadcast when there are at most
+    ``BROADCAST_PLACES``, else both sides are dealt by place and the winners hashed, so wide rows are never
+    sorted. Place is the last tie, so equal orders give the same row every time.
+    """
+    named = {c.lower(): c for c in df.columns}
+    if key.lower() not in named or date.lower() not in named:
+        return df
+    key, date = named[key.lower()], named[date.lower()]
+    first = [F.col(file_year)] if file_year else []
+    located = df.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+    order = F.struct(*first, iso_date(F.col(date).cast("string")), *[F.col(t) for t in ties], "_file", "_row")
+    winners = located.select(key, order.alias("_order")).groupBy(key).agg(F.max("_order").alias("_order"))
+    places = stored(winners.select(F.col("_order._file").alias("_file"), F.col("_order._row").alias("_row")), "winners")
+    how = "broadcast" if places.count() <= BROADCAST_PLACES else "shuffle_hash"
+    return located.join(places.hint(how), ["_file", "_row"], "left_semi").select(*df.columns)
+
+
 def last_per_key(df: DataFrame, key: str, source_order: list[str]) -> DataFrame:
     """The last row per key in source order, which is given by columns and not by row position."""
     return best_per_key(df, key, list(source_order))

@@ -337,6 +337,7 @@ SQL: dict[str, str] = {
     "union_years": f"WITH {CERT} SELECT FILE_YEAR, count(*) AS n, count(CASE WHEN FILE_YEAR >= 1998 THEN TENURE END) AS with_tenure, CAST(sum(TOTAL_FLOOR_AREA) AS BIGINT) AS area FROM cert GROUP BY 1",
     "latest_per_key": f"WITH {PREP} SELECT UPRN, LODGEMENT_DATE, CURRENT_ENERGY_RATING, TENURE, TOTAL_FLOOR_AREA, HEATING_COST_CURRENT, TIE1, TIE2, TIE3, RETROFIT_POTENTIAL, split FROM prep",
     "latest_per_key_simple": f"WITH {CERT} SELECT {K}, TRANSACTION_TYPE, TOTAL_FLOOR_AREA FROM cert QUALIFY row_number() OVER (PARTITION BY UPRN ORDER BY LODGEMENT_DATE DESC, TIE1 DESC, TIE2 DESC, TIE3 DESC) = 1",
+    "latest_per_key_late": f"WITH {CERT} SELECT {K}, TRANSACTION_TYPE, TOTAL_FLOOR_AREA FROM cert QUALIFY row_number() OVER (PARTITION BY UPRN ORDER BY LODGEMENT_DATE DESC, TIE1 DESC, TIE2 DESC, TIE3 DESC) = 1",
     "last_per_key": f"WITH {CERT} SELECT {K}, FILE_YEAR, TRANSACTION_TYPE FROM cert QUALIFY row_number() OVER (PARTITION BY UPRN ORDER BY FILE_YEAR DESC, LODGEMENT_DATE DESC, TIE1 DESC, TIE2 DESC, TIE3 DESC) = 1",
     "dedup_key": f"WITH {CERT} SELECT {K}, TRANSACTION_TYPE FROM cert QUALIFY row_number() OVER (PARTITION BY UPRN ORDER BY LODGEMENT_DATE, TIE1, TIE2, TIE3) = 1",
     "uniform_sample_n": f"WITH {CERT} " + _ranked_sample(f"{K}, TRANSACTION_TYPE", "cert", K, "1000"),

@@ -401,6 +401,13 @@ def latest_per_key_simple(spark, sf_dir):
     return dedup.latest_per_key(raw, ties=TIES)
 
 
+@query
+def latest_per_key_late(spark, sf_dir):
+    """The simple form over a stored table: winners on narrow rows, wide rows fetched by place."""
+    raw = stored(certificates(spark, sf_dir, [*KEYS, "TRANSACTION_TYPE", "TOTAL_FLOOR_AREA"]), "certificates")
+    return dedup.latest_per_key_late(raw, ties=TIES)
+
+
 @query
 def last_per_key(spark, sf_dir):
     raw = certificates(spark, sf_dir, [*KEYS, "FILE_YEAR", "TRANSACTION_TYPE"])
