@@ -5,11 +5,14 @@ Method
     Per language, f(phrase) counts the contiguous occurrences of a phrase of one to three words inside pieces.
 
     First pass: each task hashes every 1-, 2- and 3-word phrase of its texts to 64 bits (vectorised over the
-    UTF-8 bytes), counts them, and sends each count to a hash partition of its language. Per partition the
+    UTF-8 bytes), counts them per slice of ``SLICE_BYTES`` and adds the counts of its slices up (handing them
+    on whenever ``HELD_KEYS`` distinct phrases are held), and sends each count to a hash partition of its
+    language. Per partition the
     counts meet in a mergeable Misra-Gries summary whose capacity K is ``floor(M / threshold) + 1``, M being
     the partition's mass (all phrase occurrences sent to it): counters are summed and the (K+1)-th largest is
     subtracted from all. A phrase loses at most M / (K + 1) < threshold, so every phrase with f >= threshold
-    survives. Second pass: the surviving hashes go to every task in blocks of at most ``BLOCK_KEYS``; tasks
+    survives; as each task's own summary is exact, a counter's error is the cut alone, and only counters of
+    at least ``threshold`` above the cut can belong to a frequent phrase. Second pass: the surviving hashes go to every task in blocks of at most ``BLOCK_KEYS``; tasks
     count them exactly under a second, independent 64-bit hash and return the phrase text once per task.
 
     Candidates are the phrases of two or three words with a = f >= threshold. A cut after the first k words
@@ -18,9 +21,9 @@ Method
     and 100 f(triple) >= 50 a. Each language's best ``TOP`` by score, a, phrase (UTF-8 byte order) remain.
 
 Scale
-    The number of hash partitions of a language follows its word count (``PART_MASS`` occurrences a
-    partition), counted natively first, so a language with a third of all words gets a third of the
-    partitions. A very common phrase is one counter per task. The top list is cut within hashed groups
+    The number of hash partitions of a language follows its size (``PART_BYTES`` of text a partition),
+    so a language with a third of all text gets a third of the partitions. Spark adds the tasks' counts up, and each partition's cut is read
+    from a histogram of its counter values (no partition is gathered in one task). A very common phrase is one counter per task. The top list is cut within hashed groups
     first and then per language.
 
 Defined results
@@ -45,8 +48,10 @@ from certiscope.session import stored
 
 THRESHOLD = 10
 TOP = 2000
-PART_MASS = 2_000_000
-BLOCK_KEYS = 2_000_000
+PART_BYTES = 16 << 20
+SLICE_BYTES = 2 << 20
+HELD_KEYS = 3_000_000
+BLOCK_KEYS = 4_000_000
 UNKNOWN = "und"
 _PIECE_BYTES = np.zeros(256, dtype=bool)
 _PIECE_BYTES[[ord(c) for c in ".,;:!?"] + list(range(0x0A, 0x0E))] = True
@@ -110,80 +115,120 @@ def _lower_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return textops.LOWER[data], offsets
 
 
+def _merged(keys: np.ndarray, counts: np.ndarray, more_keys: np.ndarray, more_counts: np.ndarray):
+    """Two sorted counters added up: sorted distinct keys and their summed counts."""
+    k = np.concatenate([keys, more_keys])
+    c = np.concatenate([counts, more_counts])
+    order = np.argsort(k, kind="stable")  # two sorted runs
+    k, c = k[order], c[order]
+    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.empty(0, dtype=np.int64)
+    return k[first], np.add.reduceat(c, first) if len(k) else c
+
+
 def _first_pass(parts: dict[str, tuple[int, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+        def emit(lang):
+            keys, counts = held.pop(lang)
+            code, n_parts = parts[lang]
+            signed = keys.view(np.int64)
+            return pa.RecordBatch.from_pydict({
+                "code": pa.array(np.full(len(keys), code, dtype=np.int32)), "part": pa.array(signed % n_parts, pa.int32()),
+                "g": pa.array(signed, pa.int64()), "c": pa.array(counts.astype(np.int64), pa.int64())})
+
         for batch in batches:
             for lang, rows in _by_language(batch):
-                code, n_parts = parts[lang]
-                for piece in textops.slices(rows, "text"):
+                for piece in textops.slices(rows, "text", SLICE_BYTES):
                     data, offsets = _lower_bytes(piece.column("text"))
                     starts, ends, joined = _words(data, offsets)
                     hashes = np.concatenate([h for _, h in phrase_hashes(data, starts, ends, joined, 0)])
                     keys, counts = np.unique(hashes, return_counts=True)
-                    signed = keys.view(np.int64)
-                    yield pa.RecordBatch.from_pydict({
-                        "code": pa.array(np.full(len(keys), code, dtype=np.int32)), "part": pa.array(signed % n_parts, pa.int32()),
-                        "g": pa.array(signed, pa.int64()), "c": pa.array(counts.astype(np.int64), pa.int64())})
+                    if lang in held:
+                        keys, counts = _merged(*held[lang], keys, counts)
+                    held[lang] = (keys, counts)
+                    if len(keys) >= HELD_KEYS:  # the task's counter is handed on in bounded parts
+                        yield emit(lang)
+        for lang in list(held):
+            yield emit(lang)
     return run
 
 
-def _merge(threshold: int):
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        sums = frame.groupby("g", sort=False)["c"].sum()
-        mass = int(sums.sum())
-        capacity = mass // threshold + 1
-        values = sums.to_numpy()
-        cut = int(np.partition(values, len(values) - capacity - 1)[len(values) - capacity - 1]) if len(values) > capacity else 0
-        kept = sums[sums > cut]
-        return pd.DataFrame({"code": np.full(len(kept), frame["code"].iloc[0], dtype=np.int32), "g": kept.index.to_numpy(np.int64)})
-    return run
+def _spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The byte spans [begin, end) of ``data`` as a string array, gathered without a loop."""
+    lengths = end - begin
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    index = np.repeat(begin - offsets[:-1], lengths) + np.arange(offsets[-1])
+    body = pa.py_buffer(data[index].tobytes())
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets.tobytes()), body]).cast(
+        pa.large_string())
 
 
-def _second_pass(shared):
+def _second_pass(shared, count_words: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = shared.value  # lang -> sorted first-family hashes
         for batch in batches:
             for lang, rows in _by_language(batch):
-                if lang not in wanted:
+                keys = wanted.get(lang)
+                if keys is None and not count_words:
                     continue
-                for piece in textops.slices(rows, "text"):
+                for piece in textops.slices(rows, "text", SLICE_BYTES):
                     data, offsets = _lower_bytes(piece.column("text"))
                     starts, ends, joined = _words(data, offsets)
+                    if count_words:  # the language's word count, as a row of its own
+                        yield pa.RecordBatch.from_pydict({
+                            "lang": pa.array([lang], pa.string()), "g": pa.array([0], pa.int64()), "g2": pa.array([0], pa.int64()),
+                            "words": pa.array([0], pa.int32()), "phrase": pa.array([None], pa.large_string()),
+                            "f": pa.array([len(starts)], pa.int64())})
+                    if keys is None or not len(keys):
+                        continue
                     firsts = phrase_hashes(data, starts, ends, joined, 0)
                     seconds = phrase_hashes(data, starts, ends, joined, 1)
                     for size, ((at, g), (_, g2)) in enumerate(zip(firsts, seconds), start=1):
-                        keys = wanted[lang]
-                        at_key = np.minimum(np.searchsorted(keys, g.view(np.int64)), len(keys) - 1)
-                        hit = keys[at_key] == g.view(np.int64)
+                        signed = g.view(np.int64)
+                        hit = keys[np.minimum(np.searchsorted(keys, signed), len(keys) - 1)] == signed
                         if not hit.any():
                             continue
-                        pairs = np.stack([g.view(np.int64)[hit], g2.view(np.int64)[hit]], axis=1)
-                        keys, first, counts = np.unique(pairs, axis=0, return_index=True, return_counts=True)
+                        pairs = np.stack([signed[hit], g2.view(np.int64)[hit]], axis=1)
+                        found, first, counts = np.unique(pairs, axis=0, return_index=True, return_counts=True)
                         begin = at[hit][first]
-                        texts = [b" ".join(data[starts[w]:ends[w]].tobytes() for w in range(b, b + size)).decode("utf-8", "replace")
-                                 for b in begin]
+                        texts = _spans(data, starts[begin], ends[begin + size - 1])  # blanks and tabs between words stay
                         yield pa.RecordBatch.from_pydict({
-                            "lang": pa.array([lang] * len(keys), pa.string()), "g": pa.array(keys[:, 0], pa.int64()),
-                            "g2": pa.array(keys[:, 1], pa.int64()), "words": pa.array([size] * len(keys), pa.int32()),
-                            "phrase": pa.array(texts, pa.string()), "f": pa.array(counts.astype(np.int64), pa.int64())})
+                            "lang": pa.array([lang] * len(found), pa.string()), "g": pa.array(found[:, 0], pa.int64()),
+                            "g2": pa.array(found[:, 1], pa.int64()), "words": pa.array(np.full(len(found), size, dtype=np.int32)),
+                            "phrase": texts, "f": pa.array(counts.astype(np.int64), pa.int64())})
     return run
 
 
-_WORD_COUNT = """aggregate(
-  transform(split(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\\\n\\\\x0B\\\\x0C\\\\r]', -1),
-            p -> size(filter(split(p, '[ \\\\t]+', -1), w -> w != ''))),
-  0L, (acc, w) -> acc + w + greatest(w - 1, 0) + greatest(w - 2, 0))"""
+def summary_survivors(counted: DataFrame, threshold: int) -> DataFrame:
+    """The merged Misra-Gries summaries: per (code, part) the capacity K = floor(M / threshold) + 1, the cut at
+    the (K+1)-th largest summed counter (0 with fewer counters) and the counters left above it. A counter's
+    error is at most the cut, so a phrase can reach the threshold only if its summed counter does: those stay.
+
+    The cut is read from a histogram of counter values per partition, so no partition's counters are sorted.
+    """
+    summed = counted.groupBy("code", "part", "g").agg(F.sum("c").alias("c"))
+    values = summed.groupBy("code", "part", "c").agg(F.count(F.lit(1)).alias("n"))
+    part = Window.partitionBy("code", "part")
+    falling = part.orderBy(F.col("c").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = values.select("code", "part", "c", F.sum("n").over(falling).alias("above"),
+                           (F.floor(F.sum(F.col("c") * F.col("n")).over(part) / threshold) + 1).alias("capacity"))
+    cuts = ranked.groupBy("code", "part").agg(
+        F.coalesce(F.max(F.when(F.col("above") >= F.col("capacity") + 1, F.col("c"))), F.lit(0)).alias("cut"))
+    return (summed.join(cuts, ["code", "part"])
+            .where((F.col("c") > F.col("cut")) & (F.col("c") >= threshold)).select("code", "g"))
 
 
 def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """(lang, phrase, words, f) of every phrase of one to three words with f >= threshold, counted exactly."""
+    """(lang, phrase, words, f) of every phrase of one to three words with f >= threshold, counted exactly, and
+    one row a language with words 0 and f its number of words."""
     spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("string").alias("text"))
-    masses = docs.groupBy("lang").agg(F.sum(F.expr(_WORD_COUNT)).alias("mass")).collect()  # one row a language
-    parts = {r["lang"]: (code, max(1, math.ceil((r["mass"] or 0) / PART_MASS))) for code, r in enumerate(masses)}
+    sizes = docs.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).collect()  # one row a language
+    parts = {r["lang"]: (code, max(1, math.ceil((r["bytes"] or 0) / PART_BYTES))) for code, r in enumerate(sizes)}
     names = {code: lang for lang, (code, _) in parts.items()}
     counted = docs.mapInArrow(_first_pass(parts), "code int, part int, g long, c long")
-    survivors = stored(counted.groupBy("code", "part").applyInPandas(_merge(threshold), "code int, g long"), "phrase_survivors")
+    survivors = stored(summary_survivors(counted, threshold), "phrase_survivors")
     total = survivors.count()
     blocks = max(1, math.ceil(total / BLOCK_KEYS))
     exact = []
@@ -192,13 +237,15 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         codes, keys = table.column("code").to_numpy(), table.column("g").to_numpy()
         wanted = {names[int(c)]: np.unique(keys[codes == c]) for c in np.unique(codes)}
         shared = spark.sparkContext.broadcast(wanted)
-        exact.append(docs.mapInArrow(_second_pass(shared), "lang string, g long, g2 long, words int, phrase string, f long"))
+        exact.append(docs.mapInArrow(_second_pass(shared, block == 0),
+                                     "lang string, g long, g2 long, words int, phrase string, f long"))
     found = exact[0]
     for more in exact[1:]:
         found = found.unionByName(more)
-    summed = found.groupBy("lang", "g", "g2").agg(F.sum("f").alias("f"), F.first("words").alias("words"),
-                                                  F.first("phrase").alias("phrase"))
-    return stored(summed.where(F.col("f") >= threshold).select("lang", "phrase", "words", "f"), "phrase_counts")
+    summed = found.groupBy("lang", "g", "g2", "words").agg(F.sum("f").alias("f"), F.first("phrase").alias("phrase"))
+    phrase = F.regexp_replace("phrase", "[ \t]+", " ")
+    return stored(summed.where((F.col("f") >= threshold) | (F.col("words") == 0)).select(
+        "lang", phrase.alias("phrase"), "words", "f"), "phrase_counts")
 
 
 def _exact_score(a, left, right):
@@ -209,10 +256,9 @@ def _exact_score(a, left, right):
 def collocations(docs: DataFrame, threshold: int = THRESHOLD, top: int = TOP) -> DataFrame:
     """Per language the best ``top`` phrases: lang, rank, phrase, a, l, r, n, score (see the module)."""
     docs = docs.select("lang", "text")
-    counts = frequent_phrases(docs, threshold)
-    words = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
-                        F.expr(_WORD_COUNT.replace("acc + w + greatest(w - 1, 0) + greatest(w - 2, 0)", "acc + w")).alias("n"))
-    n = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    found = frequent_phrases(docs, threshold)
+    n = found.where("words = 0").select("lang", F.col("f").alias("n"))
+    counts = found.where("words > 0")
     candidates = counts.where(F.col("words") >= 2).select("lang", "phrase", "words", F.col("f").alias("a"),
                                                          F.split("phrase", " ").alias("w"))
     cuts = candidates.select("*", F.explode(F.expr(

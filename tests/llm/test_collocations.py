@@ -45,24 +45,23 @@ def test_against_plain(spark):
     rows = [("en", "New York is big. new york city, NEW YORK CITY!\tthe big apple"), (None, "kind regards; kind regards")] * 12
     rows += [("fr", "le chat noir " * 30), ("fr", None), ("de", ""), ("en", "x" * 50_000), ("en", "Über straße über straße. " * 11)]
     rows += [("en", f"tie{k} word{k} " * 10) for k in range(5)]
-    old = (collocations.PART_MASS, collocations.BLOCK_KEYS)
-    collocations.PART_MASS, collocations.BLOCK_KEYS = 50, 7  # many partitions and blocks
+    old = (collocations.PART_BYTES, collocations.BLOCK_KEYS, collocations.HELD_KEYS)
+    collocations.PART_BYTES, collocations.BLOCK_KEYS, collocations.HELD_KEYS = 50, 7, 5  # many parts, blocks, hand-ons
     try:
         assert got(spark, rows) == plain(rows)
         assert got(spark, rows, top=3) == plain(rows, top=3)
     finally:
-        collocations.PART_MASS, collocations.BLOCK_KEYS = old
+        collocations.PART_BYTES, collocations.BLOCK_KEYS, collocations.HELD_KEYS = old
 
 
 def test_empty(spark):
     assert got(spark, []) == []
 
 
-def test_summary_keeps_every_frequent_phrase():
-    """Mass 10,000 over 4,000 phrases: the capacity is 1,001, and the phrases of count >= 10 all survive."""
+def test_summary_keeps_every_frequent_phrase(spark):
+    """Mass 10,000 over 4,000 counters: the capacity is 1,001, and every counter of at least 10 survives."""
     rng = np.random.default_rng(5)
     counts = np.concatenate([np.full(300, 10), rng.integers(1, 3, 3700)])
-    counts[-1] += 10_000 - counts.sum() if counts.sum() < 10_000 else 0
-    frame = pd.DataFrame({"code": 0, "g": np.arange(len(counts)), "c": counts})
-    kept = set(collocations._merge(10)(frame)["g"])
-    assert set(np.flatnonzero(counts >= 10)) <= kept and len(kept) <= counts.sum() // 10 + 1
+    frame = pd.DataFrame({"code": 0, "part": 0, "g": np.arange(len(counts)), "c": counts})
+    kept = {r["g"] for r in collocations.summary_survivors(spark.createDataFrame(frame), 10).collect()}
+    assert kept == set(np.flatnonzero(counts >= 10).tolist())
