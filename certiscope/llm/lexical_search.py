@@ -30,24 +30,24 @@ Scale
 Defined results
     A null text has no terms; documents without terms are counted nowhere and never returned. Every row is a
     document, repeated rows included (they take consecutive ranks). A null doc_id ranks after all ids of equal
-    score. A query without terms, or whose terms no document holds, returns nothing. Terms are identified by a
-    64-bit hash; two different terms with the same hash would be counted as one (chance about 2**-64 a pair).
+    score. A query without terms, or whose terms no document holds, returns nothing. Terms are found and
+    hashed on the UTF-8 bytes, vectorised over a batch (a term character is an ASCII letter or digit or any
+    byte of a non-ASCII character), and identified by a 64-bit hash; two different terms with the same hash
+    would be counted as one (chance about 2**-64 a pair).
 """
 
 from __future__ import annotations
 
-import heapq
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from certiscope.llm import textops
 from certiscope.llm.textops import mix
 from certiscope.session import stored
 
@@ -56,7 +56,7 @@ BITS_PER_TERM = 8
 MIN_BITS = 64
 PROBES = 3
 BLOCK_DOCS = 4096
-BLOCK_BITS = 1 << 24
+BLOCK_BITS = 1 << 22
 ITEMS_PER_PASS = 10_000
 TERM = regex.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -65,12 +65,48 @@ INDEX_SCHEMA = ("block long, bits int, doc_ids array<long>, ns array<long>, slic
                 "starts binary")
 
 
+_TERM_BYTE = np.zeros(256, dtype=bool)
+_TERM_BYTE[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+
+
 def terms_of(text: str | None) -> list[str]:
     return TERM.findall(text.translate(_LOWER)) if text else []
 
 
 def term_hash(term: str) -> int:
-    return xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass")) - (1 << 63)
+    """The hash of one term, as :func:`text_terms` gives it."""
+    return int(text_terms(pa.array([term]))[2][0]) if term else 0
+
+
+def text_terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every text its number of terms, and per text its distinct term hashes (sorted) with their counts:
+    (bounds of each text's distinct terms, hashes, counts) besides the number of terms a text.
+
+    Works on the UTF-8 bytes: a term character is an ASCII letter or digit or any byte of a non-ASCII
+    character, so byte runs are exactly the pattern's maximal matches. A null text has no terms.
+    """
+    data, offsets = textops.utf8(texts)
+    data = textops.LOWER[data]
+    inside = _TERM_BYTE[data]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    edges = offsets[1:-1]
+    edges = edges[(edges > 0) & (edges < len(data))]
+    first[edges] = inside[edges]
+    last[edges - 1] = inside[edges - 1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    per_text = np.diff(np.searchsorted(starts, offsets))
+    hashes = textops.span_hashes(data, starts, ends).view(np.int64)
+    owner = np.repeat(np.arange(len(per_text)), per_text)
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    new = np.ones(len(hashes), dtype=bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    at = np.flatnonzero(new)
+    counts = np.diff(np.append(at, len(hashes)))
+    bounds = np.searchsorted(owner[at], np.arange(len(per_text) + 1))
+    return per_text, bounds, hashes[at], counts
 
 
 def probe_bits(hashes: np.ndarray) -> np.ndarray:
@@ -106,17 +142,17 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out.append(_block(bits, waiting.pop(bits)))
 
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            terms = terms_of(text)
-            if not terms:
-                continue
-            counts = Counter(term_hash(t) for t in terms)
-            own = np.array(sorted(counts), dtype=np.int64)
-            bits = width_of(len(own))
-            docs = waiting.setdefault(bits, [])
-            docs.append((doc_id, len(terms), own, np.array([counts[h] for h in own], dtype=np.int64)))
-            if len(docs) >= max(1, min(BLOCK_DOCS, BLOCK_BITS // bits)):
-                emit(bits)
+        for piece in textops.slices(batch, "text"):
+            n_terms, bounds, hashes, counts = text_terms(piece.column("text"))
+            for k, doc_id in enumerate(piece.column("doc_id").to_pylist()):
+                if not n_terms[k]:
+                    continue
+                own = hashes[bounds[k]:bounds[k + 1]].copy()  # copies, so that the slice's arrays are freed
+                bits = width_of(len(own))
+                docs = waiting.setdefault(bits, [])
+                docs.append((doc_id, int(n_terms[k]), own, counts[bounds[k]:bounds[k + 1]].astype(np.int32)))
+                if len(docs) >= max(1, min(BLOCK_DOCS, BLOCK_BITS // bits)):
+                    emit(bits)
         if out:
             yield _rows(out)
             out.clear()
@@ -144,11 +180,8 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def _query_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        items, hashes = [], []
-        for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist()):
-            for h in sorted({term_hash(t) for t in terms_of(text)}):
-                items.append(item)
-                hashes.append(h)
+        _, bounds, hashes, _ = text_terms(batch.column("text"))
+        items = np.repeat(batch.column("item_id").to_numpy(zero_copy_only=False), np.diff(bounds))
         yield pa.RecordBatch.from_pydict({"item_id": pa.array(items, pa.int64()), "term_hash": pa.array(hashes, pa.int64())})
 
 
@@ -163,14 +196,21 @@ def _doc_frequencies(shared):
     return run
 
 
-def exact_score(q_hashes: np.ndarray, q_weights: np.ndarray, hashes: np.ndarray, tfs: np.ndarray, m: int) -> int:
-    """The score of one document for one query, from its sorted term hashes and counts."""
-    if not len(hashes):
-        return 0
-    at = np.minimum(np.searchsorted(hashes, q_hashes), len(hashes) - 1)
-    held = hashes[at] == q_hashes
-    tf = tfs[at[held]].astype(np.int64)
-    return int((q_weights[held] * ((1_000_000_000 * tf) // (1000 * tf + 20 * m))).sum())
+def exact_scores(q_sorted: np.ndarray, w_sorted: np.ndarray, hashes: np.ndarray, tfs: np.ndarray, starts: np.ndarray,
+                 lengths: np.ndarray, rows: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Exact scores of some documents of a block for one query (its term hashes sorted, with their weights)."""
+    own = lengths[rows]
+    offsets = np.concatenate([[0], np.cumsum(own)])
+    index = np.repeat(starts[rows] - offsets[:-1], own) + np.arange(offsets[-1])
+    found = hashes[index]
+    at = np.minimum(np.searchsorted(q_sorted, found), len(q_sorted) - 1)
+    hit = q_sorted[at] == found
+    owner = np.repeat(np.arange(len(rows)), own)[hit]
+    tf = tfs[index[hit]].astype(np.int64)
+    part = w_sorted[at[hit]] * ((1_000_000_000 * tf) // (1000 * tf + 20 * m[rows][owner]))
+    scores = np.zeros(len(rows), dtype=np.int64)
+    np.add.at(scores, owner, part)
+    return scores
 
 
 def _search(shared, n_docs: int, n_terms: int):
@@ -190,27 +230,33 @@ def _search(shared, n_docs: int, n_terms: int):
                 starts = np.frombuffer(batch.column("starts")[k].as_py(), dtype=np.int64)
                 m = 50 + (50 * ns * n_docs) // max(n_terms, 1)
                 ceiling = (1_000_000_000 * ns) // (1000 * ns + 20 * m)
+                id_values = np.array([x or 0 for x in ids], dtype=np.int64)
+                id_null = np.array([x is None for x in ids], dtype=bool)
+                lengths = np.diff(starts)
                 for item, (q_hashes, q_weights, q_probes) in queries.items():
                     places = (q_probes & np.uint64(bits - 1)).astype(np.int64)
                     present = np.unpackbits(np.bitwise_and.reduce(packed[places], axis=1), axis=1, count=d)  # terms x docs
                     bound = (q_weights @ present.astype(np.int64)) * ceiling
                     order = np.argsort(-bound, kind="stable")
-                    best: list[tuple] = []  # the block's best as (score, not null, -doc_id, row), worst first
-                    rescored = 0
-                    for j in order:
-                        if bound[j] <= 0 or (len(best) == TOP and bound[j] < best[0][0]):
-                            break
-                        rescored += 1
-                        score = exact_score(q_hashes, q_weights, hashes[starts[j]:starts[j + 1]], tfs[starts[j]:starts[j + 1]],
-                                            int(m[j]))
-                        if score <= 0:
-                            continue
-                        entry = (score, 0 if ids[j] is None else 1, -(ids[j] or 0), int(j))
-                        if len(best) < TOP:
-                            heapq.heappush(best, entry)
-                        elif entry[:3] > best[0][:3]:
-                            heapq.heapreplace(best, entry)
-                    for score, _, _, j in best:
+                    q_order = np.argsort(q_hashes)
+                    q_sorted, w_sorted = q_hashes[q_order], q_weights[q_order]
+                    kept_rows, kept_scores = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+                    done, size, rescored = 0, 64, 0
+                    while done < d:
+                        floor = kept_scores.min() if len(kept_scores) == TOP else 1
+                        chunk = order[done:done + size]
+                        chunk = chunk[(bound[chunk] >= floor) & (bound[chunk] > 0)]
+                        if not len(chunk):
+                            break  # bounds fall, so no later document can reach the block's best
+                        done += size
+                        size *= 2
+                        rescored += len(chunk)
+                        scores = exact_scores(q_sorted, w_sorted, hashes, tfs, starts, lengths, chunk, m)
+                        rows = np.concatenate([kept_rows, chunk[scores > 0]])
+                        values = np.concatenate([kept_scores, scores[scores > 0]])
+                        pick = np.lexsort((id_values[rows], id_null[rows], -values))[:TOP]
+                        kept_rows, kept_scores = rows[pick], values[pick]
+                    for j, score in zip(kept_rows.tolist(), kept_scores.tolist()):
                         out_item.append(item)
                         out_doc.append(ids[j])
                         out_score.append(score)

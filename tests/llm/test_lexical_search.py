@@ -50,11 +50,21 @@ def test_empty(spark):
     assert ranked(spark, [(1, "alpha")], []) == []
 
 
+def test_terms_match_the_pattern():
+    texts = ["Über-straße, ÜBER 12ab\tx_y", None, "", "...", "日本語 and 🎉emoji"]
+    n, bounds, hashes, counts = lexical_search.text_terms(__import__("pyarrow").array(texts))
+    for k, text in enumerate(texts):
+        terms = lexical_search.terms_of(text)
+        assert n[k] == len(terms)
+        assert sorted(hashes[bounds[k]:bounds[k + 1]].tolist()) == sorted({lexical_search.term_hash(t) for t in terms})
+        assert sorted(counts[bounds[k]:bounds[k + 1]].tolist()) == sorted(Counter(terms).values())
+
+
 def test_bound_prunes():
-    """The bound is above every exact score and leaves documents without the rare term unscored."""
+    """The bound is above every exact score."""
     import numpy as np
     hashes = np.array(sorted({lexical_search.term_hash(t) for t in ["rare", "common"]}), dtype=np.int64)
     tfs = np.array([3, 1], dtype=np.int32)
     weights = np.array([5000, 10], dtype=np.int64)
-    score = lexical_search.exact_score(hashes, weights, hashes, tfs, 80)
+    score = lexical_search.exact_scores(hashes, weights, hashes, tfs, np.array([0]), np.array([2]), np.array([0]), np.array([80]))[0]
     assert 0 < score <= weights.sum() * ((10**9 * 4) // (1000 * 4 + 20 * 80))
