@@ -32,6 +32,8 @@ from certiscope.sources.register import null_missing
 QUOTE = 0x22
 #: Ranges of more rows than this are joined to their lines by a shuffle instead of being sent to every task.
 BROADCAST_RANGES = 100_000
+#: A task hands its parsed records on whenever they hold this many bytes, so it never keeps a whole range.
+BATCH_BYTES = 1 << 20
 
 
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -96,13 +98,15 @@ def _records(encoding: str, width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = {k: [] for k in ("fields", "file", "key", "order", "piece")}
-        current, parity, key, here, buffer, header = None, 0, None, False, [], None
+        current, parity, key, here, buffer, header, held = None, 0, None, False, [], None, 0
 
         def flush(file):
             """A record that began and ended in this range is parsed; any other part of one is handed on."""
+            nonlocal held
             if not buffer:
                 return
             data = b"\n".join(line for _, line in buffer)
+            held += len(data)
             if here and parity == 0:
                 fields = None if key == header else _checked(parse(data), width)
                 if fields is not None:
@@ -112,6 +116,17 @@ def _records(encoding: str, width: int):
                 for name, value in zip(out, (None, file, key, buffer[0][0], data)):
                     out[name].append(value)
 
+        def handed_on():
+            nonlocal held
+            batch = pa.RecordBatch.from_pydict({
+                "fields": pa.array(out["fields"], pa.list_(pa.string())), "file": pa.array(out["file"], pa.string()),
+                "key": pa.array(out["key"], pa.int64()), "order": pa.array(out["order"], pa.int64()),
+                "piece": pa.array(out["piece"], pa.binary())})
+            held = 0
+            for values in out.values():
+                values.clear()
+            return batch
+
         for file, start, seq, line, start_parity, carried, file_first in _rows(
                 batches, ("start_parity", "carried", "file_first")):
             if (file, start) != current:
@@ -121,14 +136,13 @@ def _records(encoding: str, width: int):
             if parity == 0:
                 flush(file)
                 key, here, buffer = seq, True, []
+                if held >= BATCH_BYTES:
+                    yield handed_on()
             buffer.append((seq, line))
             parity ^= line.count(QUOTE) & 1
         if current is not None:
             flush(current[0])
-        yield pa.RecordBatch.from_pydict({
-            "fields": pa.array(out["fields"], pa.list_(pa.string())), "file": pa.array(out["file"], pa.string()),
-            "key": pa.array(out["key"], pa.int64()), "order": pa.array(out["order"], pa.int64()),
-            "piece": pa.array(out["piece"], pa.binary())})
+        yield handed_on()
     return run
 
 
@@ -161,11 +175,13 @@ def read_split_csv(spark: SparkSession, path: str | list[str], encoding: str = "
     names = spark.read.option("header", True).option("encoding", encoding).option("multiLine", True).csv(path).columns
     lines = _lines(spark, path)
     ranges = _range_table(lines)
-    n_ranges = ranges.count()
-    ranges = F.broadcast(ranges) if n_ranges <= BROADCAST_RANGES else ranges
+    few = ranges.count() <= BROADCAST_RANGES
+    ranges = F.broadcast(ranges) if few else ranges
     keyed = lines.join(ranges.drop("first_seq").withColumnRenamed("range", "r_range").withColumnRenamed("file", "r_file"),
                        (lines["file"] == F.col("r_file")) & (lines["range"] == F.col("r_range")))
-    keyed = keyed.drop("r_file", "r_range").sortWithinPartitions("file", "range", "seq")
+    keyed = keyed.drop("r_file", "r_range")
+    if not few:  # the shuffle mixes the lines; beside a broadcast they stay in the order they are read in
+        keyed = keyed.sortWithinPartitions("file", "range", "seq")
     parts = keyed.mapInArrow(_records(encoding, len(names)),
                              "fields array<string>, file string, key long, order long, piece binary")
     whole = parts.where(F.col("piece").isNull()).select("fields")

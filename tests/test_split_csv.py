@@ -66,3 +66,29 @@ def test_wrong_width_stops(spark, tmp_path):
 def test_header_only(spark, tmp_path):
     path = write(tmp_path, "empty.csv", ["a,b"])
     assert read_split_csv(spark, path).collect() == []
+
+
+def test_records_are_handed_on_in_bounded_batches():
+    """A range's records leave the task in many small batches, none of them lost."""
+    import pyarrow as pa
+
+    from certiscope.sources import split_csv
+    n = 60_000
+    lines = [b"a,b"] + [line for k in range(n) for line in (b'%d,"%s' % (k, b"x" * 60), b'line"')]
+    size = len(lines)
+    batch = pa.RecordBatch.from_pydict({
+        "file": ["f"] * size, "range": [0] * size, "seq": list(range(size)), "line": pa.array(lines, pa.binary()),
+        "start_parity": [0] * size, "carried": pa.array([None] * size, pa.int64()), "file_first": [0] * size})
+    pieces = [batch.slice(k, 10_000) for k in range(0, size, 10_000)]
+    out = list(split_csv._records("ISO-8859-1", 2)(iter(pieces)))
+    assert max(b.nbytes for b in out) < 2 * split_csv.BATCH_BYTES and len(out) > 3
+    fields = [f for b in out for f in b.column("fields").to_pylist()]
+    assert fields == [[str(k), "x" * 60 + "\nline"] for k in range(n)]
+
+
+def test_ranges_joined_by_shuffle(spark, tmp_path, monkeypatch):
+    from certiscope.sources import split_csv
+    path = write(tmp_path, "a.csv", BODY)
+    monkeypatch.setattr(split_csv, "BROADCAST_RANGES", 0)
+    got, want, *_ = both(spark, path, 13)
+    assert got == want
