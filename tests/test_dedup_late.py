@@ -18,3 +18,28 @@ def test_late_equals_max_by(spark, tmp_path):
     finally:
         dedup.BROADCAST_PLACES = old
     assert len(want) == 8 and dedup.latest_per_key_late(stored.drop("UPRN")).columns == [c for c in stored.columns if c != "UPRN"]
+
+
+def test_wide_rows_and_paths_stay_out_of_the_shuffle(spark, tmp_path, monkeypatch):
+    """The rows are filtered by bits where they are read, a thousand rows in one row of the place table."""
+    monkeypatch.setattr(dedup, "BROADCAST_PLACES", 20)
+    df = spark.range(5000).selectExpr("cast(id % 1700 as string) AS UPRN", "cast(date_add(date'2020-01-01', cast(id % 90 as int)) as string) "
+                                      "AS LODGEMENT_DATE", "id AS T1", "repeat('w', 40) AS WIDE")
+    path = str(tmp_path / "t")
+    df.repartition(3).write.parquet(path)
+    stored = spark.read.parquet(path)
+    late = dedup.latest_per_key_late(stored, ties=["T1"])
+    assert "hashpartitioning" not in late._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, late.collect())) == sorted(map(tuple, dedup.latest_per_key(stored, ties=["T1"]).collect()))
+
+
+def test_late_limits(spark, monkeypatch):
+    """More rows of the place table than may be broadcast, one file with many chunks, and an empty table."""
+    from certiscope.session import stored
+    df = stored(spark.range(9000).selectExpr("cast(id % 4000 as string) AS UPRN", "'2020-01-01' AS LODGEMENT_DATE", "id AS T1").coalesce(1))
+    want = sorted(map(tuple, dedup.latest_per_key(df, ties=["T1"]).collect()))
+    for limit in (400_000, 3):
+        monkeypatch.setattr(dedup, "BROADCAST_PLACES", limit)
+        assert sorted(map(tuple, dedup.latest_per_key_late(df, ties=["T1"]).collect())) == want
+    empty = stored(df.where("T1 < 0"))
+    assert dedup.latest_per_key_late(empty, ties=["T1"]).collect() == []
