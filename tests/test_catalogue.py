@@ -4,6 +4,7 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry
+from certiscope.plans import queries as queries_module
 from conftest import SF_DIR
 
 # Fits on the whole table, covered by relation in test_models.
@@ -33,3 +34,16 @@ def test_gives_rows(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_impute_values_joins_once(spark, monkeypatch):
+    """The passes of the quantiles and modes read stored rows, not the joins again."""
+    plans, plain = [], queries_module.ordering.exact_quantiles
+
+    def spied(df, *rest):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(df, *rest)
+
+    monkeypatch.setattr(queries_module.ordering, "exact_quantiles", spied)
+    assert len(QUERIES["impute_values"](spark, SF_DIR).collect()) == 6
+    assert len(plans) == 1 and "Join" not in plans[0]
