@@ -18,14 +18,14 @@ Method
     the term (and a few without). Summing the weights of the terms whose bitmap holds a document and
     multiplying by ``(10^9 n) div (1000 n + 20 m)`` (the largest factor any tf <= n can reach) bounds its score
     from above. Documents are rescored exactly in falling order of that bound until 50 exact scores are at
-    least the next bound: a document whose bound lies below the 50th exact score of its block cannot be in
-    the answer, and every other one is scored exactly. The blocks' best 50 meet in a top-50 by query,
-    first within groups of blocks, then across them.
+    least the next bound: a document whose bound lies below the 50th exact score found so far in its task's
+    blocks cannot be in the answer, and every other one is scored exactly. The tasks' best 50 meet in a top-50
+    by query, first within groups of tasks, then across them.
 
 Scale
     One pass over the texts builds the index (written to the shared folder). Counting N, L and df reads the
     index, not the texts. Queries go in groups of ``ITEMS_PER_PASS`` with their weights sent to every task;
-    each block is searched by one task without a shuffle; the two top-50 steps hold at most 50 rows a block.
+    each block is searched by one task without a shuffle; the two top-50 steps hold at most 50 rows a task.
 
 Defined results
     A null text has no terms; documents without terms are counted nowhere and never returned. Every row is a
@@ -153,13 +153,13 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 docs.append((doc_id, int(n_terms[k]), own, counts[bounds[k]:bounds[k + 1]].astype(np.int32)))
                 if len(docs) >= max(1, min(BLOCK_DOCS, BLOCK_BITS // bits)):
                     emit(bits)
-        if out:
-            yield _rows(out)
-            out.clear()
+            if out:
+                yield _rows(out)
+                out.clear()
     for bits in list(waiting):
         emit(bits)
-    if out:
         yield _rows(out)
+        out.clear()
 
 
 def _rows(blocks: list[dict]) -> pa.RecordBatch:
@@ -215,57 +215,60 @@ def exact_scores(q_sorted: np.ndarray, w_sorted: np.ndarray, hashes: np.ndarray,
 
 def _search(shared, n_docs: int, n_terms: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries = shared.value  # item -> (hashes, weights, probe values)
+        queries = shared.value  # item -> (sorted hashes, weights, probe values)
+        best: dict[int, tuple] = {}  # item -> (doc ids, whether null, scores) of the task's best TOP so far
+        home = None  # the task's first block
+        rescored = dict.fromkeys(queries, 0)
         for batch in batches:
-            out_item, out_doc, out_score, out_block, out_rescored = [], [], [], [], []
             for k in range(batch.num_rows):
-                block = batch.column("block")[k].as_py()
+                home = batch.column("block")[k].as_py() if home is None else home
                 bits = batch.column("bits")[k].as_py()
-                ids = batch.column("doc_ids")[k].as_py()
-                ns = np.array(batch.column("ns")[k].as_py(), dtype=np.int64)
+                ids = batch.column("doc_ids")[k].values
+                ns = batch.column("ns")[k].values.to_numpy(zero_copy_only=False)
                 d = len(ids)
-                packed = np.frombuffer(batch.column("slices")[k].as_py(), dtype=np.uint8).reshape(bits, -1)
-                hashes = np.frombuffer(batch.column("hashes")[k].as_py(), dtype=np.int64)
-                tfs = np.frombuffer(batch.column("tfs")[k].as_py(), dtype=np.int32)
-                starts = np.frombuffer(batch.column("starts")[k].as_py(), dtype=np.int64)
+                packed, hashes, tfs, starts = (
+                    np.frombuffer(batch.column(c)[k].as_buffer(), dtype=t)
+                    for c, t in (("slices", np.uint8), ("hashes", np.int64), ("tfs", np.int32), ("starts", np.int64)))
+                packed = packed.reshape(bits, -1)
                 m = 50 + (50 * ns * n_docs) // max(n_terms, 1)
                 ceiling = (1_000_000_000 * ns) // (1000 * ns + 20 * m)
-                id_values = np.array([x or 0 for x in ids], dtype=np.int64)
-                id_null = np.array([x is None for x in ids], dtype=bool)
+                id_values = ids.fill_null(0).to_numpy(zero_copy_only=False)
+                id_null = ids.is_null().to_numpy(zero_copy_only=False)
                 lengths = np.diff(starts)
                 for item, (q_hashes, q_weights, q_probes) in queries.items():
                     places = (q_probes & np.uint64(bits - 1)).astype(np.int64)
-                    present = np.unpackbits(np.bitwise_and.reduce(packed[places], axis=1), axis=1, count=d)  # terms x docs
-                    bound = (q_weights @ present.astype(np.int64)) * ceiling
-                    order = np.argsort(-bound, kind="stable")
-                    q_order = np.argsort(q_hashes)
-                    q_sorted, w_sorted = q_hashes[q_order], q_weights[q_order]
-                    kept_rows, kept_scores = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-                    done, size, rescored = 0, 64, 0
-                    while done < d:
-                        floor = kept_scores.min() if len(kept_scores) == TOP else 1
+                    bound = np.zeros(d, dtype=np.int64)
+                    for at in range(0, len(places), 64):
+                        present = np.unpackbits(np.bitwise_and.reduce(packed[places[at:at + 64]], axis=1), axis=1, count=d)
+                        bound += q_weights[at:at + 64] @ present.astype(np.int64)
+                    bound *= ceiling
+                    kept = best.get(item)
+                    floor = kept[2][-1] if kept is not None and len(kept[2]) == TOP else 1
+                    order = np.flatnonzero(bound >= max(floor, 1))
+                    order = order[np.argsort(-bound[order], kind="stable")]
+                    done, size = 0, 64
+                    while done < len(order):
                         chunk = order[done:done + size]
-                        chunk = chunk[(bound[chunk] >= floor) & (bound[chunk] > 0)]
+                        chunk = chunk[bound[chunk] >= floor]
                         if not len(chunk):
-                            break  # bounds fall, so no later document can reach the block's best
+                            break  # bounds fall, so no later document can reach the task's best
                         done += size
                         size *= 2
-                        rescored += len(chunk)
-                        scores = exact_scores(q_sorted, w_sorted, hashes, tfs, starts, lengths, chunk, m)
-                        rows = np.concatenate([kept_rows, chunk[scores > 0]])
-                        values = np.concatenate([kept_scores, scores[scores > 0]])
-                        pick = np.lexsort((id_values[rows], id_null[rows], -values))[:TOP]
-                        kept_rows, kept_scores = rows[pick], values[pick]
-                    for j, score in zip(kept_rows.tolist(), kept_scores.tolist()):
-                        out_item.append(item)
-                        out_doc.append(ids[j])
-                        out_score.append(score)
-                        out_block.append(block)
-                        out_rescored.append(rescored)
+                        rescored[item] += len(chunk)
+                        scores = exact_scores(q_hashes, q_weights, hashes, tfs, starts, lengths, chunk, m)
+                        chunk, scores = chunk[scores > 0], scores[scores > 0]
+                        found = (id_values[chunk], id_null[chunk], scores)
+                        if kept is not None:
+                            found = tuple(np.concatenate(pair) for pair in zip(kept, found))
+                        pick = np.lexsort((found[0], found[1], -found[2]))[:TOP]
+                        kept = best[item] = tuple(x[pick] for x in found)
+                        floor = kept[2][-1] if len(pick) == TOP else 1
+        for item, (doc_ids, null, scores) in best.items():
+            n = len(scores)
             yield pa.RecordBatch.from_pydict({
-                "item_id": pa.array(out_item, pa.int64()), "doc_id": pa.array(out_doc, pa.int64()),
-                "score": pa.array(out_score, pa.int64()), "block": pa.array(out_block, pa.int64()),
-                "rescored": pa.array(out_rescored, pa.int64())})
+                "item_id": pa.array([item] * n, pa.int64()), "doc_id": pa.array(doc_ids, pa.int64(), mask=null),
+                "score": pa.array(scores, pa.int64()), "block": pa.array([home] * n, pa.int64()),
+                "rescored": pa.array([rescored[item]] * n, pa.int64())})
     return run
 
 
@@ -305,8 +308,8 @@ def search(index: DataFrame, queries: DataFrame, item_id: str = "item_id", text:
             grouped.setdefault(r["item_id"], []).append((r["term_hash"], r["w"]))
         plan = {}
         for item, pairs in grouped.items():
-            hashes = np.array([h for h, _ in pairs], dtype=np.int64)
-            plan[item] = (hashes, np.array([w for _, w in pairs], dtype=np.int64), probe_bits(hashes))
+            hashes, weights = np.array(sorted(pairs), dtype=np.int64).T.copy()
+            plan[item] = (hashes, weights, probe_bits(hashes))
         shared = spark.sparkContext.broadcast(plan)
         local = index.mapInArrow(_search(shared, n_docs, n_terms),
                                  "item_id long, doc_id long, score long, block long, rescored long")

@@ -11,7 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
+CHUNK_ROWS = 1024  # short texts too come in pieces, as some arrays have a fixed size a text
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -55,16 +56,17 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces whose ``column`` holds a bounded number of bytes."""
+    """The batch in pieces whose ``column`` holds a bounded number of bytes, of ``CHUNK_ROWS`` rows at most."""
     _, offsets = utf8(batch.column(column))
     for start, stop in chunks(offsets, limit):
-        yield batch.slice(start, stop - start)
+        for at in range(start, stop, CHUNK_ROWS):
+            yield batch.slice(at, min(stop - at, CHUNK_ROWS))
 
 
 def _grown(name: str, base: int, n: int) -> np.ndarray:
     have = _powers[name]
     if len(have) < n:
-        steps = np.full(max(n, 2 * len(have)), base, dtype=np.uint64)
+        steps = np.full(max(n, 1 << 16), base, dtype=np.uint64)
         steps[0] = 1
         _powers[name] = have = np.multiply.accumulate(steps)
     return have[:n]

@@ -68,3 +68,40 @@ def test_bound_prunes():
     weights = np.array([5000, 10], dtype=np.int64)
     score = lexical_search.exact_scores(hashes, weights, hashes, tfs, np.array([0]), np.array([2]), np.array([0]), np.array([80]))[0]
     assert 0 < score <= weights.sum() * ((10**9 * 4) // (1000 * 4 + 20 * 80))
+
+
+def test_a_task_hands_on_its_best_once(monkeypatch):
+    """The index leaves a task block by block, and however many blocks a task searches, it gives at most TOP rows a query."""
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+    monkeypatch.setattr(lexical_search, "BLOCK_DOCS", 32)
+    docs = [(k, "alpha " * (k % 9 + 1) + f"word{k % 5}") for k in range(400)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([d for d, _ in docs]), "text": pa.array([t for _, t in docs])})
+    rows = list(lexical_search._index(iter([batch])))
+    blocks = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
+    blocks = blocks.append_column("block", pa.array(range(blocks.num_rows), pa.int64()))
+    assert blocks.num_rows >= 12
+    hashes = np.array([lexical_search.term_hash("alpha")])
+    plan = SimpleNamespace(value={1: (hashes, np.array([700]), lexical_search.probe_bits(hashes))})
+    total = sum(len(t.split()) for _, t in docs)
+    out = pa.Table.from_batches(list(lexical_search._search(plan, len(docs), total)(iter([blocks]))))
+    assert out.num_rows == lexical_search.TOP
+
+    def score(text):
+        n, tf = len(text.split()), text.split().count("alpha")
+        return 700 * ((10**9 * tf) // (1000 * tf + 20 * (50 + (50 * n * len(docs)) // total)))
+
+    want = sorted(((-score(t), d) for d, t in docs))[:lexical_search.TOP]
+    assert sorted(zip((-s for s in out["score"].to_pylist()), out["doc_id"].to_pylist())) == want
+
+
+def test_slices_bound_rows_and_bytes():
+    import pyarrow as pa
+
+    from certiscope.llm import textops
+    texts = ["a"] * 5000 + ["b" * 300_000] * 5
+    parts = list(textops.slices(pa.RecordBatch.from_pydict({"text": texts}), "text"))
+    assert max(p.num_rows for p in parts) <= 1024 and max(p.nbytes for p in parts) < 1 << 20
+    assert [t for p in parts for t in p.column("text").to_pylist()] == texts
