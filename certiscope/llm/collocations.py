@@ -5,9 +5,8 @@ Method
     Per language, f(phrase) counts the contiguous occurrences of a phrase of one to three words inside pieces.
 
     First pass: each task hashes every 1-, 2- and 3-word phrase of its texts to 64 bits (vectorised over the
-    UTF-8 bytes), counts them per slice of ``SLICE_BYTES`` and adds the counts of its slices up (handing them
-    on whenever ``HELD_KEYS`` distinct phrases are held), and sends each count to a hash partition of its
-    language. Per partition the
+    UTF-8 bytes, in slices of ``SLICE_BYTES``), counts the hashes whenever ``HELD_KEYS`` of them are held, and
+    sends the counts to hash partitions of the language, one row of bytes a partition. Per partition the
     counts meet in a mergeable Misra-Gries summary whose capacity K is ``floor(M / threshold) + 1``, M being
     the partition's mass (all phrase occurrences sent to it): counters are summed and the (K+1)-th largest is
     subtracted from all. A phrase loses at most M / (K + 1) < threshold, so every phrase with f >= threshold
@@ -22,8 +21,8 @@ Method
 
 Scale
     The number of hash partitions of a language follows its size (``PART_BYTES`` of text a partition),
-    so a language with a third of all text gets a third of the partitions. Spark adds the tasks' counts up, and each partition's cut is read
-    from a histogram of its counter values (no partition is gathered in one task). A very common phrase is one counter per task. The top list is cut within hashed groups
+    so a language with a third of all text gets a third of the partitions. Spark brings the tasks' counters of a
+    partition together and a task adds up one partition at a time. A very common phrase is one counter per task. The top list is cut within hashed groups
     first and then per language.
 
 Defined results
@@ -44,14 +43,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from certiscope.llm import textops
-from certiscope.session import stored
+from certiscope.session import shuffle_width, stored
 
 THRESHOLD = 10
 TOP = 2000
-PART_BYTES = 16 << 20
-SLICE_BYTES = 2 << 20
-HELD_KEYS = 3_000_000
-BLOCK_KEYS = 4_000_000
+PART_BYTES = 512 << 10
+SLICE_BYTES = 512 << 10
+HELD_KEYS = 1_500_000
+BLOCK_KEYS = 2_000_000
+MERGE_PARTITIONS = 2000
+PACKED = "code int, part int, keys binary, counts binary"
 UNKNOWN = "und"
 _PIECE_BYTES = np.zeros(256, dtype=bool)
 _PIECE_BYTES[[ord(c) for c in ".,;:!?"] + list(range(0x0A, 0x0E))] = True
@@ -81,23 +82,21 @@ def _words(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, joined
 
 
-def phrase_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, joined: np.ndarray, family: int):
-    """For sizes 1, 2, 3: the index of each phrase's first word and its 64-bit hash under one of two families."""
+def phrase_places(joined: np.ndarray, size: int) -> np.ndarray:
+    """The index of the first word of every phrase of ``size`` words."""
+    ok = np.ones(max(0, len(joined) - size + 1), dtype=bool)
+    for k in range(1, size):
+        ok &= joined[k:len(joined) - size + 1 + k]
+    return np.flatnonzero(ok)
+
+
+def phrase_hashes(words: np.ndarray, at: np.ndarray, size: int, family: int) -> np.ndarray:
+    """The 64-bit hash, under one of two families, of the phrases of ``size`` words that begin at ``at``."""
     seeds = _SEEDS[family]
-    words = textops.span_hashes(data, starts, ends) ^ seeds[3]
-    out = []
-    for size in (1, 2, 3):
-        if len(words) < size:
-            out.append((np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)))
-            continue
-        at = np.arange(len(words) - size + 1)
-        ok = np.ones(len(at), dtype=bool)
-        total = words[at] * seeds[0]
-        for k in range(1, size):
-            ok &= joined[at + k]
-            total = total + words[at + k] * seeds[k]
-        out.append((at[ok], textops.mix(total[ok] + np.uint64(size))))
-    return out
+    total = np.full(len(at), size, dtype=np.uint64)
+    for k in range(size):
+        total += (words[at + k] ^ seeds[3]) * seeds[k]
+    return textops.mix(total)
 
 
 def _language(batch: pa.RecordBatch) -> pa.Array:
@@ -115,40 +114,53 @@ def _lower_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return textops.LOWER[data], offsets
 
 
-def _merged(keys: np.ndarray, counts: np.ndarray, more_keys: np.ndarray, more_counts: np.ndarray):
-    """Two sorted counters added up: sorted distinct keys and their summed counts."""
-    k = np.concatenate([keys, more_keys])
-    c = np.concatenate([counts, more_counts])
-    order = np.argsort(k, kind="stable")  # two sorted runs
-    k, c = k[order], c[order]
-    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.empty(0, dtype=np.int64)
-    return k[first], np.add.reduceat(c, first) if len(k) else c
+def _counted(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, with their summed counts. Without ``counts`` a key counts once and is sorted in place."""
+    if counts is None:
+        keys.sort()
+    else:
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, dtype=np.int64)
+    sums = np.diff(np.append(first, len(keys))) if counts is None else np.add.reduceat(counts, first) if len(keys) else counts
+    return keys[first], sums
+
+
+def _packed(code: int, parts: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """One row a part: its keys and their counts as bytes. ``parts`` are sorted."""
+    cuts = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]])).tolist() if len(parts) else []
+    spans = list(zip(cuts, [*cuts[1:], len(parts)]))
+    return pa.RecordBatch.from_pydict({
+        "code": pa.array([code] * len(spans), pa.int32()), "part": pa.array([int(parts[x]) for x, _ in spans], pa.int32()),
+        "keys": pa.array([keys[x:y].astype("<u8").tobytes() for x, y in spans], pa.binary()),
+        "counts": pa.array([counts[x:y].astype("<i8").tobytes() for x, y in spans], pa.binary())})
 
 
 def _first_pass(parts: dict[str, tuple[int, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        held: dict[str, list[np.ndarray]] = {}
+        sizes: dict[str, int] = {}
 
         def emit(lang):
-            keys, counts = held.pop(lang)
+            sizes.pop(lang)
+            keys, counts = _counted(np.concatenate(held.pop(lang)))
             code, n_parts = parts[lang]
-            signed = keys.view(np.int64)
-            return pa.RecordBatch.from_pydict({
-                "code": pa.array(np.full(len(keys), code, dtype=np.int32)), "part": pa.array(signed % n_parts, pa.int32()),
-                "g": pa.array(signed, pa.int64()), "c": pa.array(counts.astype(np.int64), pa.int64())})
+            part = ((keys >> np.uint64(32)) * np.uint64(n_parts) >> np.uint64(32)).astype(np.int32)  # rises with the key
+            return _packed(code, part, keys, counts)
 
         for batch in batches:
             for lang, rows in _by_language(batch):
                 for piece in textops.slices(rows, "text", SLICE_BYTES):
                     data, offsets = _lower_bytes(piece.column("text"))
                     starts, ends, joined = _words(data, offsets)
-                    hashes = np.concatenate([h for _, h in phrase_hashes(data, starts, ends, joined, 0)])
-                    keys, counts = np.unique(hashes, return_counts=True)
-                    if lang in held:
-                        keys, counts = _merged(*held[lang], keys, counts)
-                    held[lang] = (keys, counts)
-                    if len(keys) >= HELD_KEYS:  # the task's counter is handed on in bounded parts
-                        yield emit(lang)
+                    words = textops.span_hashes(data, starts, ends)
+                    for size in (1, 2, 3):
+                        hashes = phrase_hashes(words, phrase_places(joined, size), size, 0)
+                        held.setdefault(lang, []).append(hashes)
+                        sizes[lang] = sizes.get(lang, 0) + len(hashes)
+                    if sum(sizes.values()) >= HELD_KEYS:  # the task's counters are handed on in bounded parts
+                        for done in list(held):
+                            yield emit(done)
         for lang in list(held):
             yield emit(lang)
     return run
@@ -164,59 +176,153 @@ def _spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
         pa.large_string())
 
 
+class _Places:
+    """Sorted distinct hashes, found by their leading bits."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, bits = keys, max(1, len(keys).bit_length())
+        self.shift = np.uint64(64 - bits)
+        heads = np.arange(1 << bits, dtype=np.uint64) << self.shift
+        self.starts = np.append(np.searchsorted(keys, heads), len(keys)).astype(np.int32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash among the keys, -1 for one that is not there."""
+        out = np.full(len(hashes), -1, dtype=np.int64)
+        head = (hashes >> self.shift).astype(np.int64)
+        at, end = self.starts[head], self.starts[head + 1]
+        rows = np.flatnonzero(at < end)
+        at, end, hashes = at[rows], end[rows], hashes[rows]
+        while len(rows):
+            hit = self.keys[at] == hashes
+            out[rows[hit]] = at[hit]
+            more = ~hit & (at + 1 < end)
+            rows, at, end, hashes = rows[more], at[more] + 1, end[more], hashes[more]
+        return out
+
+
+class _Exact:
+    """One task's exact counts of one language's wanted phrases; a phrase's text is kept once."""
+
+    def __init__(self, keys: np.ndarray):
+        self.places = _Places(keys)
+        self.second, self.count = np.zeros(len(keys), dtype=np.uint64), np.zeros(len(keys), dtype=np.int64)
+        self.size = np.zeros(len(keys), dtype=np.int8)  # 0: not met yet
+        self.order, self.texts = [], []
+
+    def add(self, size: int, places: np.ndarray, second: np.ndarray, text) -> np.ndarray:
+        """Counts phrases by place and second hash; the rows whose place is held by another phrase come back."""
+        fresh = np.flatnonzero(self.size[places] == 0)
+        found, first = np.unique(places[fresh], return_index=True)
+        first = fresh[first]
+        self.size[found], self.second[found] = size, second[first]
+        if len(found):
+            self.order.append(found)
+            self.texts.append(text(first))
+        own = (self.second[places] == second) & (self.size[places] == size)
+        np.add.at(self.count, places[own], 1)
+        return np.flatnonzero(~own)
+
+    def rows(self, lang: str) -> Iterator[pa.RecordBatch]:
+        for order, texts in zip(self.order, self.texts):
+            yield _exact_rows(lang, self.places.keys[order], self.second[order], self.size[order], texts, self.count[order])
+
+
+def _exact_rows(lang: str, g, g2, size, texts: pa.Array, f) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({
+        "lang": pa.array([lang] * len(g), pa.string()), "g": pa.array(g.view(np.int64)), "g2": pa.array(g2.view(np.int64)),
+        "words": pa.array(size.astype(np.int32)), "phrase": texts, "f": pa.array(f)})
+
+
 def _second_pass(shared, count_words: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = shared.value  # lang -> sorted first-family hashes
+        exact: dict[str, _Exact] = {}
+        n_words: dict[str, int] = {}
         for batch in batches:
             for lang, rows in _by_language(batch):
-                keys = wanted.get(lang)
-                if keys is None and not count_words:
+                if lang not in wanted and not count_words:
                     continue
+                if lang in wanted and lang not in exact:
+                    exact[lang] = _Exact(wanted[lang])
                 for piece in textops.slices(rows, "text", SLICE_BYTES):
                     data, offsets = _lower_bytes(piece.column("text"))
                     starts, ends, joined = _words(data, offsets)
-                    if count_words:  # the language's word count, as a row of its own
-                        yield pa.RecordBatch.from_pydict({
-                            "lang": pa.array([lang], pa.string()), "g": pa.array([0], pa.int64()), "g2": pa.array([0], pa.int64()),
-                            "words": pa.array([0], pa.int32()), "phrase": pa.array([None], pa.large_string()),
-                            "f": pa.array([len(starts)], pa.int64())})
-                    if keys is None or not len(keys):
+                    n_words[lang] = n_words.get(lang, 0) + len(starts)
+                    if lang not in exact:
                         continue
-                    firsts = phrase_hashes(data, starts, ends, joined, 0)
-                    seconds = phrase_hashes(data, starts, ends, joined, 1)
-                    for size, ((at, g), (_, g2)) in enumerate(zip(firsts, seconds), start=1):
-                        signed = g.view(np.int64)
-                        hit = keys[np.minimum(np.searchsorted(keys, signed), len(keys) - 1)] == signed
-                        if not hit.any():
+                    words = textops.span_hashes(data, starts, ends)
+                    for size in (1, 2, 3):
+                        at = phrase_places(joined, size)
+                        places = exact[lang].places.find(phrase_hashes(words, at, size, 0))
+                        at, places = at[places >= 0], places[places >= 0]
+                        if not len(at):
                             continue
-                        pairs = np.stack([signed[hit], g2.view(np.int64)[hit]], axis=1)
-                        found, first, counts = np.unique(pairs, axis=0, return_index=True, return_counts=True)
-                        begin = at[hit][first]
-                        texts = _spans(data, starts[begin], ends[begin + size - 1])  # blanks and tabs between words stay
-                        yield pa.RecordBatch.from_pydict({
-                            "lang": pa.array([lang] * len(found), pa.string()), "g": pa.array(found[:, 0], pa.int64()),
-                            "g2": pa.array(found[:, 1], pa.int64()), "words": pa.array(np.full(len(found), size, dtype=np.int32)),
-                            "phrase": texts, "f": pa.array(counts.astype(np.int64), pa.int64())})
+                        second = phrase_hashes(words, at, size, 1)
+
+                        def text(k, at=at, size=size):  # blanks and tabs between words stay
+                            return _spans(data, starts[at[k]], ends[at[k] + size - 1])
+
+                        other = exact[lang].add(size, places, second, text)
+                        if len(other):  # another phrase with an equal first hash
+                            ones = np.ones(len(other), dtype=np.int64)
+                            yield _exact_rows(lang, wanted[lang][places[other]], second[other], size * ones, text(other), ones)
+        for lang in exact:
+            yield from exact[lang].rows(lang)
+        if count_words:  # a language's word count is a row of its own
+            for lang, n in n_words.items():
+                none = np.zeros(1, dtype=np.int64)
+                yield _exact_rows(lang, none, none, none, pa.array([None], pa.large_string()), np.array([n], dtype=np.int64))
     return run
 
 
-def summary_survivors(counted: DataFrame, threshold: int) -> DataFrame:
-    """The merged Misra-Gries summaries: per (code, part) the capacity K = floor(M / threshold) + 1, the cut at
+def _merge(threshold: int):
+    """Rows of packed counters, those of a (code, part) one after another, to the survivors of each summary."""
+    def survivors(owner, keys, counts):
+        keys, sums = _counted(np.concatenate(keys), np.concatenate(counts))
+        capacity = int(sums.sum()) // threshold + 1
+        cut = np.partition(sums, len(sums) - capacity - 1)[len(sums) - capacity - 1] if len(sums) > capacity else 0
+        keys = keys[(sums > cut) & (sums >= threshold)]
+        return pa.RecordBatch.from_pydict({"code": pa.array([owner[0]] * len(keys), pa.int32()),
+                                           "g": pa.array(keys.view(np.int64), pa.int64())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owner, keys, counts = None, [], []
+        for batch in batches:
+            for k in range(batch.num_rows):
+                here = batch.column("code")[k].as_py(), batch.column("part")[k].as_py()
+                if here != owner and owner is not None:
+                    yield survivors(owner, keys, counts)
+                    keys, counts = [], []
+                owner = here
+                keys.append(np.frombuffer(batch.column("keys")[k].as_py(), dtype="<u8"))
+                counts.append(np.frombuffer(batch.column("counts")[k].as_py(), dtype="<i8"))
+        if owner is not None:
+            yield survivors(owner, keys, counts)
+    return run
+
+
+def merged_survivors(packed: DataFrame, threshold: int, partitions: int) -> DataFrame:
+    """The mergeable Misra-Gries summaries: per (code, part) the capacity K = floor(M / threshold) + 1, the cut at
     the (K+1)-th largest summed counter (0 with fewer counters) and the counters left above it. A counter's
     error is at most the cut, so a phrase can reach the threshold only if its summed counter does: those stay.
 
-    The cut is read from a histogram of counter values per partition, so no partition's counters are sorted.
+    Counters travel as one row of bytes a task and part, not as a row each.
     """
-    summed = counted.groupBy("code", "part", "g").agg(F.sum("c").alias("c"))
-    values = summed.groupBy("code", "part", "c").agg(F.count(F.lit(1)).alias("n"))
-    part = Window.partitionBy("code", "part")
-    falling = part.orderBy(F.col("c").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = values.select("code", "part", "c", F.sum("n").over(falling).alias("above"),
-                           (F.floor(F.sum(F.col("c") * F.col("n")).over(part) / threshold) + 1).alias("capacity"))
-    cuts = ranked.groupBy("code", "part").agg(
-        F.coalesce(F.max(F.when(F.col("above") >= F.col("capacity") + 1, F.col("c"))), F.lit(0)).alias("cut"))
-    return (summed.join(cuts, ["code", "part"])
-            .where((F.col("c") > F.col("cut")) & (F.col("c") >= threshold)).select("code", "g"))
+    dealt = packed.repartition(partitions, "code", "part").sortWithinPartitions("code", "part")
+    return dealt.mapInArrow(_merge(threshold), "code int, g long")
+
+
+def summary_survivors(counted: DataFrame, threshold: int) -> DataFrame:
+    """:func:`merged_survivors` of counters given as rows (code, part, g, c)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code, part, g, c = (batch.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("code", "part", "g", "c"))
+            for one in np.unique(code).tolist():
+                rows = np.flatnonzero(code == one)
+                rows = rows[np.argsort(part[rows], kind="stable")]
+                yield _packed(one, part[rows], g[rows].view(np.uint64), c[rows])
+    packed = counted.mapInArrow(run, PACKED)
+    return merged_survivors(packed, threshold, shuffle_width(counted.sparkSession))
 
 
 def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -227,15 +333,16 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     sizes = docs.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).collect()  # one row a language
     parts = {r["lang"]: (code, max(1, math.ceil((r["bytes"] or 0) / PART_BYTES))) for code, r in enumerate(sizes)}
     names = {code: lang for lang, (code, _) in parts.items()}
-    counted = docs.mapInArrow(_first_pass(parts), "code int, part int, g long, c long")
-    survivors = stored(summary_survivors(counted, threshold), "phrase_survivors")
+    packed = docs.mapInArrow(_first_pass(parts), PACKED)
+    partitions = min(MERGE_PARTITIONS, sum(n for _, n in parts.values()) or 1)
+    survivors = stored(merged_survivors(packed, threshold, partitions), "phrase_survivors")
     total = survivors.count()
     blocks = max(1, math.ceil(total / BLOCK_KEYS))
     exact = []
     for block in range(blocks):
         table = survivors.where(F.pmod(F.xxhash64("g"), F.lit(blocks)) == block).toArrow()  # about BLOCK_KEYS rows
-        codes, keys = table.column("code").to_numpy(), table.column("g").to_numpy()
-        wanted = {names[int(c)]: np.unique(keys[codes == c]) for c in np.unique(codes)}
+        codes, keys = table.column("code").to_numpy(), np.ascontiguousarray(table.column("g").to_numpy())
+        wanted = {names[int(c)]: np.unique(keys[codes == c].view(np.uint64)) for c in np.unique(codes)}
         shared = spark.sparkContext.broadcast(wanted)
         exact.append(docs.mapInArrow(_second_pass(shared, block == 0),
                                      "lang string, g long, g2 long, words int, phrase string, f long"))

@@ -65,3 +65,28 @@ def test_summary_keeps_every_frequent_phrase(spark):
     frame = pd.DataFrame({"code": 0, "part": 0, "g": np.arange(len(counts)), "c": counts})
     kept = {r["g"] for r in collocations.summary_survivors(spark.createDataFrame(frame), 10).collect()}
     assert kept == set(np.flatnonzero(counts >= 10).tolist())
+
+
+def test_counters_travel_as_one_row_a_part():
+    """The first pass gives a row of bytes a partition, not a row a phrase."""
+    import pyarrow as pa
+    rng = np.random.default_rng(11)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 3000, 500)) for _ in range(60)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 60, "text": texts})
+    out = list(collocations._first_pass({"en": (0, 7)})(iter([batch])))
+    assert sum(b.num_rows for b in out) <= 7
+    counts = np.concatenate([np.frombuffer(x, dtype="<i8") for b in out for x in b.column("counts").to_pylist()])
+    assert counts.sum() == 60 * (500 + 499 + 498)
+    assert len(counts) > 50_000
+
+
+def test_equal_first_hashes_are_told_apart():
+    """Two phrases on one place: the second one's rows come back instead of being added to the first."""
+    import pyarrow as pa
+    exact = collocations._Exact(np.array([5, 9], dtype=np.uint64))
+    second = np.array([1, 2, 1, 7], dtype=np.uint64)
+    other = exact.add(2, np.array([0, 0, 0, 1]), second, lambda k: pa.array([f"t{x}" for x in k]))
+    assert other.tolist() == [1]
+    assert exact.add(3, np.array([0]), np.array([1], dtype=np.uint64), None).tolist() == [0]
+    rows = [r for b in exact.rows("en") for r in b.to_pylist()]
+    assert [(r["g"], r["g2"], r["words"], r["phrase"], r["f"]) for r in rows] == [(5, 1, 2, "t0", 2), (9, 7, 2, "t3", 1)]
