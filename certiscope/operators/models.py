@@ -26,7 +26,8 @@ from pyspark.sql.window import Window
 
 from certiscope.functions.columns import hash_rank
 from certiscope.operators.features import FeatureEncoder, class_weights
-from certiscope.operators.metrics import class_scores, confusion, roc_auc, score_summary
+from certiscope.operators.metrics import RANK, class_scores, confusion, roc_auc, score_summary
+from certiscope.operators.ordering import score_cuts
 from certiscope.operators.sampling import stratified_folds
 
 WEIGHT = "weight"
@@ -279,9 +280,15 @@ def shuffled_features(df: DataFrame, keys: list[str], seed: int, blocks: int) ->
 
 def permutation_importance(model: Model, df: DataFrame, names: list[str], keys: list[str], label: str = "label",
                            repeats: int = 10, seed: int = 42) -> DataFrame:
-    """Mean and deviation of the ROC-AUC lost when one feature is shuffled."""
+    """Mean and deviation of the ROC-AUC lost when one feature is shuffled.
+
+    The ranges of the score are cut once, on the rows as they are: cutting them on the shuffled rows would
+    score rows x features a second time in every repeat. Results are exact for any cuts.
+    """
     rows = df.select(*keys, label, "features").persist()
-    base = roc_auc(score(model, rows, "s", [label]), label, "s").first()
+    plain = score(model, rows, "s", [label])
+    cuts = score_cuts(plain.select((-F.col("s")).alias(RANK)).where(~F.isnan(RANK)), RANK)
+    base = roc_auc(plain, label, "s", cuts=cuts).first()
     whole, blocks = base.roc_auc, 1 + (base.positives + base.negatives) // BLOCK_ROWS
     drops: dict[str, list[float]] = {n: [] for n in names}
     for r in range(repeats):
@@ -291,7 +298,7 @@ def permutation_importance(model: Model, df: DataFrame, names: list[str], keys:
         mixed = F.concat(F.slice("_own", F.lit(1), F.col("_j") - 1), F.array(F.get("_other", F.col("_j") - 1)),
                          F.slice("_own", F.col("_j") + 1, F.lit(len(names))))
         scored = score(model, tried.select(label, "_j", array_to_vector(mixed).alias("features")), "s", [label, "_j"])
-        for row in roc_auc(scored, label, "s", ["_j"]).collect():
+        for row in roc_auc(scored, label, "s", ["_j"], cuts).collect():
             drops[names[row["_j"] - 1]].append(whole - row.roc_auc)
     rows.unpersist()
     out = [(n, fmean(d), pstdev(d)) for n, d in drops.items()]

@@ -80,3 +80,20 @@ def test_permutation_importance_finds_the_signal(rows):
 
 def test_walk_forward_windows():
     assert models.walk_forward_years([2022, 2020, 2021, 2023]) == [([2020, 2021], 2022), ([2020, 2021, 2022], 2023)]
+
+
+def test_permutation_importance_cuts_the_scores_once(rows, monkeypatch):
+    """No repeat sketches the scores of all rows and features."""
+    from certiscope.operators import metrics
+    model = models.logistic(rows.count()).fit(models.balanced(rows))
+    test = rows.withColumn("weight", F.lit(1.0))
+    calls, plain = [], models.score_cuts
+
+    def counted(*args):
+        calls.append(args)
+        return plain(*args)
+
+    monkeypatch.setattr(models, "score_cuts", counted)
+    monkeypatch.setattr(metrics, "score_cuts", counted)
+    models.permutation_importance(model, test, ["x", "noise"], ["id"], repeats=2).collect()
+    assert len(calls) == 1
