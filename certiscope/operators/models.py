@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from itertools import product
 from statistics import fmean, pstdev
 
+import numpy as np
 from pyspark.ml import Model, Pipeline
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import (
@@ -22,13 +23,16 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 from pyspark.sql.window import Window
 
 from certiscope.functions.columns import hash_rank
+from certiscope.operators import exchange
 from certiscope.operators.features import FeatureEncoder, class_weights
-from certiscope.operators.metrics import RANK, class_scores, confusion, roc_auc, score_summary
-from certiscope.operators.ordering import score_cuts
+from certiscope.operators.metrics import RANK, class_scores, confusion, range_areas, roc_auc, score_summary
+from certiscope.operators.ordering import BUCKET, MAX_BUCKETS, score_cuts
 from certiscope.operators.sampling import stratified_folds
+from certiscope.session import stored
 
 WEIGHT = "weight"
 FINAL_TREES = 300
@@ -263,15 +267,19 @@ def importances(spark: SparkSession, model: Model, names: list[str]) -> DataFram
     return spark.createDataFrame([(n, float(v)) for n, v in zip(names, values.toArray())], "feature string, importance double")
 
 
+def shuffle_places(df: DataFrame, keys: list[str], seed: int, blocks: int) -> DataFrame:
+    """Rows fall into blocks by one hash, ``_block``, and stand in the order of a second one, ``_place``, inside the block."""
+    return df.withColumns(
+        {"_block": F.pmod(hash_rank(seed, *keys), F.lit(blocks)), "_place": hash_rank(seed + 1, *keys)}
+    )
+
+
 def shuffled_features(df: DataFrame, keys: list[str], seed: int, blocks: int) -> DataFrame:
     """Give every row the feature vector of another row, as ``partner``: one shuffle for all features.
 
-    Rows fall into blocks by one hash and stand in the order of a second one inside the block; the
-    partner is the next row, the last row takes the first. Every value is used exactly once.
+    The partner is the next row of the block, the last row takes the first. Every value is used exactly once.
     """
-    placed = df.withColumns(
-        {"_block": F.pmod(hash_rank(seed, *keys), F.lit(blocks)), "_place": hash_rank(seed + 1, *keys)}
-    )
+    placed = shuffle_places(df, keys, seed, blocks)
     w = Window.partitionBy("_block").orderBy("_place", *keys)
     following = F.lead("features").over(w)
     first = F.first("features").over(w.rowsBetween(Window.unboundedPreceding, 0))
@@ -283,23 +291,66 @@ def permutation_importance(model: Model, df: DataFrame, names: list[str], keys:
     """Mean and deviation of the ROC-AUC lost when one feature is shuffled.
 
     The ranges of the score are cut once, on the rows as they are: cutting them on the shuffled rows would
-    score rows x features a second time in every repeat. Results are exact for any cuts.
+    score rows x features a second time in every repeat. Results are exact for any cuts. A logistic model is
+    scored from the terms of its sum; any other one scores the mixed vectors.
     """
-    rows = df.select(*keys, label, "features").persist()
+    linear = exchange.linear_part(model)
+    if linear:
+        whole, exchanged = _linear_exchange(*linear, df, keys, label)
+    else:
+        whole, exchanged = _scored_exchange(model, df, len(names), keys, label)
+    drops: dict[str, list[float]] = {n: [] for n in names}
+    for r in range(repeats):
+        for row in exchanged(seed + 2 * r).collect():
+            drops[names[row["_j"] - 1]].append(whole - row.roc_auc)
+    out = [(n, fmean(d), pstdev(d)) for n, d in drops.items()]
+    return df.sparkSession.createDataFrame(out, "feature string, importance double, sd double")
+
+
+def _linear_exchange(coefficients: np.ndarray, intercept: float, df: DataFrame, keys: list[str],
+                     label: str) -> tuple[float, Callable[[int], DataFrame]]:
+    """ROC-AUC of the rows as they are, and of every feature shuffled by a seed."""
+    wide = df.select(*keys, label, vector_to_array("features").alias("_terms"))
+    schema = StructType([*wide.schema.fields[:-1], StructField("_terms", BinaryType()), StructField("_s", DoubleType())])
+    rows = stored(wide.mapInArrow(lambda it: exchange.pack_terms(it, coefficients, intercept), schema))
+    ranked = rows.select((-F.col("_s")).alias(RANK)).where(~F.isnan(RANK))
+    cuts = score_cuts(ranked, RANK, min(MAX_BUCKETS, 1 + rows.count() // exchange.RANGE_ROWS))
+    limits = np.unique(-np.array(cuts, dtype=float))
+
+    def areas(blocks: DataFrame) -> DataFrame:
+        return range_areas(blocks.groupBy("_j", BUCKET).applyInArrow(exchange.range_pairs, exchange.SUMS), ["_j"])
+
+    own = rows.select(F.col(label).alias("_label"), "_terms")
+    base = areas(own.mapInArrow(
+        lambda it: exchange.score_blocks(exchange.own_scores(it, intercept), limits, 0), exchange.BLOCKS)).first()
+    blocks = 1 + (base.positives + base.negatives) // BLOCK_ROWS
+
+    def exchanged(seed: int) -> DataFrame:
+        """The pairs of :func:`shuffled_features`, made where the rows are scored."""
+        order = F.shiftleft("_block", 32) + F.col("_place")  # one number, which a sort compares before the rows
+        placed = shuffle_places(rows, keys, seed, blocks).repartition("_block").sortWithinPartitions(order, *keys)
+        return areas(placed.select("_block", F.col(label).alias("_label"), "_terms").mapInArrow(
+            lambda it: exchange.score_blocks(exchange.exchanged_scores(it, intercept), limits, 1), exchange.BLOCKS))
+
+    return base.roc_auc, exchanged
+
+
+def _scored_exchange(model: Model, df: DataFrame, width: int, keys: list[str],
+                     label: str) -> tuple[float, Callable[[int], DataFrame]]:
+    """The same for a model that has to score every mixed vector."""
+    rows = stored(df.select(*keys, label, "features"))
     plain = score(model, rows, "s", [label])
     cuts = score_cuts(plain.select((-F.col("s")).alias(RANK)).where(~F.isnan(RANK)), RANK)
     base = roc_auc(plain, label, "s", cuts=cuts).first()
-    whole, blocks = base.roc_auc, 1 + (base.positives + base.negatives) // BLOCK_ROWS
-    drops: dict[str, list[float]] = {n: [] for n in names}
-    for r in range(repeats):
-        pairs = shuffled_features(rows, keys, seed + 2 * r, blocks)
+    blocks = 1 + (base.positives + base.negatives) // BLOCK_ROWS
+
+    def exchanged(seed: int) -> DataFrame:
+        pairs = shuffled_features(rows, keys, seed, blocks)
         own, other = vector_to_array("features"), vector_to_array("partner")
-        tried = pairs.select(label, own.alias("_own"), other.alias("_other"), F.explode(F.sequence(F.lit(1), F.lit(len(names)))).alias("_j"))
+        tried = pairs.select(label, own.alias("_own"), other.alias("_other"), F.explode(F.sequence(F.lit(1), F.lit(width))).alias("_j"))
         mixed = F.concat(F.slice("_own", F.lit(1), F.col("_j") - 1), F.array(F.get("_other", F.col("_j") - 1)),
-                         F.slice("_own", F.col("_j") + 1, F.lit(len(names))))
+                         F.slice("_own", F.col("_j") + 1, F.lit(width)))
         scored = score(model, tried.select(label, "_j", array_to_vector(mixed).alias("features")), "s", [label, "_j"])
-        for row in roc_auc(scored, label, "s", ["_j"], cuts).collect():
-            drops[names[row["_j"] - 1]].append(whole - row.roc_auc)
-    rows.unpersist()
-    out = [(n, fmean(d), pstdev(d)) for n, d in drops.items()]
-    return df.sparkSession.createDataFrame(out, "feature string, importance double, sd double")
+        return roc_auc(scored, label, "s", ["_j"], cuts)
+
+    return base.roc_auc, exchanged

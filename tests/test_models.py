@@ -97,3 +97,52 @@ def test_permutation_importance_cuts_the_scores_once(rows, monkeypatch):
     monkeypatch.setattr(metrics, "score_cuts", counted)
     models.permutation_importance(model, test, ["x", "noise"], ["id"], repeats=2).collect()
     assert len(calls) == 1
+
+
+def test_linear_importance_equals_scoring_every_mixed_row(rows, spark, monkeypatch):
+    """Without mixed vectors: blocks of partners, score ranges, ties, a missing label; no row is exploded by feature."""
+    rng = random.Random(2)
+    data = [(None if i == 7 else f"k{i % 390}", *[float(rng.randint(0, 3)) for _ in range(5)], None if i == 11 else rng.randint(0, 1))
+            for i in range(400)]
+    df = spark.createDataFrame(data, "id string, a double, b double, c double, d double, e double, label int")
+    df = df.select("id", "label", array_to_vector(F.array("a", "b", "c", "d", "e")).alias("features")).dropDuplicates(["id"])
+    model = models.logistic(400).fit(models.balanced(df.dropna()))
+    monkeypatch.setattr(models, "BLOCK_ROWS", 90)
+    monkeypatch.setattr(models.exchange, "RANGE_ROWS", 60)
+    monkeypatch.setattr(models.exchange, "HELD_VALUES", 300)
+    monkeypatch.setattr(models.exchange, "CHUNK", 16)
+
+    def found():
+        return {r.feature: (r.importance, r.sd) for r in models.permutation_importance(model, df, list("abcde"), ["id"], repeats=3).collect()}
+
+    with monkeypatch.context() as m:
+        m.setattr(models, "_scored_exchange", None)
+        got = found()
+    monkeypatch.setattr(models.exchange, "linear_part", lambda _: None)
+    plain = found()
+    assert set(got) == set("abcde")
+    for name, values in got.items():
+        assert values == pytest.approx(plain[name], abs=1e-12)
+
+
+def test_range_pairs_against_plain_counts():
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from certiscope.operators import exchange
+    rng = np.random.default_rng(3)
+    scores = np.concatenate([np.repeat(rng.random(6), 40), rng.random(160), [0.0, 1.0, np.nan]])
+    labels = rng.integers(0, 2, len(scores))
+    halves = [(scores[None, a::2].copy(), labels[a::2]) for a in (0, 1)]
+    blocks = [b for h in halves for b in exchange._sorted_blocks([h], np.array([.3, .6]), 0)]
+    table = pa.Table.from_batches(blocks)
+    got = np.zeros(3)
+    above = 0
+    for bucket in (0, 1, 2):  # descending score
+        part = exchange.range_pairs(table.filter(pc.equal(table[exchange.BUCKET], bucket))).to_pylist()[0]
+        got += [part["pos"], part["neg"], part["pairs"] + above * part["neg"]]
+        above += part["pos"]
+    valid = ~np.isnan(scores)
+    pos, neg = scores[valid & (labels == 1)], scores[valid & (labels == 0)]
+    pairs = (pos[:, None] > neg).sum() + (pos[:, None] == neg).sum() / 2
+    assert tuple(got) == (len(pos), len(neg), pairs)
