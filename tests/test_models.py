@@ -146,3 +146,16 @@ def test_range_pairs_against_plain_counts():
     pos, neg = scores[valid & (labels == 1)], scores[valid & (labels == 0)]
     pairs = (pos[:, None] > neg).sum() + (pos[:, None] == neg).sum() / 2
     assert tuple(got) == (len(pos), len(neg), pairs)
+
+
+def test_permutation_importance_query_shuffles_ten_times(rows, spark, monkeypatch):
+    from types import SimpleNamespace
+    from certiscope.plans import queries
+    table = rows.select(F.col("id").alias("UPRN"), F.expr("if(id % 2 = 0, 'train', 'test')").alias("split"), "label", "features")
+    monkeypatch.setattr(queries, "model_table", lambda *_: (table, SimpleNamespace(names=["x", "noise"])))
+    seeds, limits, plain = [], [], models.shuffle_places
+    monkeypatch.setattr(models, "shuffle_places", lambda df, keys, seed, blocks: seeds.append(seed) or plain(df, keys, seed, blocks))
+    whole = models.permutation_importance
+    monkeypatch.setattr(models, "permutation_importance", lambda model, *rest, **kw: limits.append(model.getMaxIter()) or whole(model, *rest, **kw))
+    assert queries.permutation_importance(spark, "").count() == 2
+    assert len(set(seeds)) == 10 and limits == [1000]
