@@ -148,3 +148,35 @@ def test_two_proportions(spark):
     z = decisions.proportion_z(F.lit(30), F.lit(100), F.lit(45), F.lit(100))
     expected = (.3 - .45) / math.sqrt(.375 * .625 * .02)
     assert spark.range(1).select(z.alias("z")).first().z == pytest.approx(expected)
+
+
+def test_bootstrap_query_draws_two_thousand_replicates(spark, monkeypatch):
+    from certiscope.plans import queries
+    from certiscope.plans.oracle import SQL
+    rows = [(int(i % 3 == 0), (i * 7 % 50) / 50, (i * 11 % 40) / 40) for i in range(200)]
+    df = spark.createDataFrame(rows, f"{queries.LABEL} int, SCORE_A double, SCORE_B double")
+    monkeypatch.setattr(queries, "_two_scores", lambda *_: df)
+    assert {r.model: r.n_resamples for r in queries.bootstrap_auc(spark, "").collect()} == {"A": 2000, "B": 2000}
+    assert "(1999, " in SQL["bootstrap_auc"] and "(1999, " not in SQL["bootstrap_gap"]
+
+
+@pytest.mark.parametrize("size", [1, 3, 64])
+def test_range_sums_do_not_depend_on_the_blocks(monkeypatch, size):
+    """Ties over block edges, many rows of a score, large and small counts, draws at the edge of the prime."""
+    import pandas as pd
+    rng = np.random.default_rng(6)
+    n, constants = 120, np.array([(2**31 - 2, 2**31 - 2), *resampling.replicate_constants(4, 42)], dtype=np.int64)
+    hashes = np.concatenate(([0, 1, 2**31 - 2, 2**31 - 1, 2**31, 2**32 - 1], rng.integers(0, 2**32, n - 6)))
+    u = (hashes[:, None] % resampling.PRIME * constants[None, :, 0] + constants[None, :, 1]) % resampling.PRIME
+    counts = rng.choice([1, 2, 256, 257], n)
+    labels, ranks = rng.integers(0, 2, n), np.sort(rng.integers(0, 9, n) / 4)
+    limits = [resampling.poisson_limits(int(c)) for c in counts]
+    w = np.array([t[0] + np.searchsorted(t[1:], row, side="right") for t, row in zip(limits, u)])
+    assert (resampling.draw_weights(hashes, counts, constants) == w).all()
+    monkeypatch.setattr(resampling, "BLOCK_WEIGHTS", size * len(constants))
+    rows = pd.DataFrame({"model": "A", resampling.BUCKET: 0, "salt": -1, "rank": ranks, "label": labels, "n": counts, "h": hashes})
+    got = pd.concat(resampling._range_sums(iter([rows[:50], rows[50:]]), constants))
+    for r in range(len(constants)):
+        pos, neg = w[:, r] * labels, w[:, r] * (1 - labels)
+        pairs = (pos[:, None] * neg * ((ranks[:, None] < ranks) + .5 * (ranks[:, None] == ranks))).sum()
+        assert tuple(got.iloc[r][["pos", "neg", "pairs"]]) == (pos.sum(), neg.sum(), pairs)
