@@ -117,27 +117,28 @@ def own_scores(batches: Iterator[pa.RecordBatch], intercept: float) -> Iterator[
 def exchanged_scores(batches: Iterator[pa.RecordBatch], intercept: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Scores with each term in turn taken from the next row of the block (the last row takes the first), and the labels.
 
-    The rows come in order of ``_block``; a block is held until its first row has been used again.
+    The rows come in order of ``_block``; a batch is held until the row behind it is known.
     """
-    key, parts = None, []
+    key, first, held = None, None, None
     for batch in batches:
         ids = batch.column("_block").to_numpy()
         starts = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1), len(ids)]
         for at, end in zip(starts[:-1], starts[1:]):
             if end == at:
                 continue
-            if ids[at] != key and parts:
-                yield from _exchanged_block(parts, intercept)
-                parts = []
-            key = ids[at]
-            parts.append(batch.slice(at, end - at))
-    if parts:
-        yield from _exchanged_block(parts, intercept)
-
-
-def _exchanged_block(parts: list[pa.RecordBatch], intercept: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    terms = np.concatenate([_terms(p) for p in parts] + [_terms(parts[0])[:1]])
-    labels = pa.chunked_array([p.column("_label") for p in parts]).combine_chunks()
+            part = batch.slice(at, end - at)
+            terms = _terms(part)
+            if held is not None:
+                yield from _chained(*held, terms[:1] if ids[at] == key else first, intercept)
+            if ids[at] != key:
+                key, first = ids[at], terms[:1].copy()
+            held = terms, part.column("_label")
+    if held is not None:
+        yield from _chained(*held, first, intercept)
+
+
+def _chained(terms: np.ndarray, labels: pa.Array, behind: np.ndarray, intercept: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    terms = np.concatenate((terms, behind))
     for at in range(0, len(labels), CHUNK):
         end = min(at + CHUNK, len(labels))
         own, other = np.ascontiguousarray(terms[at:end].T), np.ascontiguousarray(terms[at + 1:end + 1].T)

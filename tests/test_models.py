@@ -159,3 +159,24 @@ def test_permutation_importance_query_shuffles_ten_times(rows, spark, monkeypatc
     monkeypatch.setattr(models, "permutation_importance", lambda model, *rest, **kw: limits.append(model.getMaxIter()) or whole(model, *rest, **kw))
     assert queries.permutation_importance(spark, "").count() == 2
     assert len(set(seeds)) == 10 and limits == [1000]
+
+
+def test_exchanged_scores_hold_one_batch():
+    """A block over several batches and several blocks in one: each row meets the next, the last one the first."""
+    import numpy as np
+    import pyarrow as pa
+    from certiscope.operators import exchange
+    sizes, cuts = [5, 1, 3], [0, 2, 4, 8, 9]
+    rng = np.random.default_rng(4)
+    terms, block = rng.normal(size=(9, 3)), np.repeat([7, 8, 9], sizes)
+    batches = [pa.RecordBatch.from_arrays([
+        pa.array(block[a:b]), pa.array([None if i == 3 else i % 2 for i in range(a, b)]),
+        exchange._binary(terms[a:b].reshape(-1).copy(), np.arange(b - a + 1) * 3)], names=["_block", "_label", "_terms"])
+        for a, b in zip(cuts[:-1], cuts[1:])]
+    got = np.concatenate([s for s, _ in exchange.exchanged_scores(iter(batches), .5)], axis=1)
+    partner = [1, 2, 3, 4, 0, 5, 7, 8, 6]
+    for at, i in enumerate(i for i in range(9) if i != 3):
+        for j in range(3):
+            mixed = terms[i].copy()
+            mixed[j] = terms[partner[i], j]
+            assert got[j, at] == pytest.approx(1 / (1 + np.exp(-mixed.sum() - .5)))
